@@ -18,13 +18,13 @@ def _parent_keys(parent: DataFrame, key: str, parent_key: str | None) -> DataFra
 
 
 def require_reference(df: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Rows of ``df`` whose ``key`` exists in ``parent`` (LEFT SEMI)."""
-    return df.join(_parent_keys(parent, key, parent_key), on=key, how="left_semi")
+    """Rows of ``df`` whose ``key`` exists in ``parent`` (LEFT SEMI); columns keep their order."""
+    return df.join(_parent_keys(parent, key, parent_key), on=key, how="left_semi").select(*df.columns)
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is NULL or missing from ``parent`` (LEFT ANTI)."""
-    return df.join(_parent_keys(parent, key, parent_key), on=key, how="left_anti")
+    return df.join(_parent_keys(parent, key, parent_key), on=key, how="left_anti").select(*df.columns)
 
 
 def reference_flag(
@@ -38,4 +38,4 @@ def reference_flag(
     keys = _parent_keys(parent, key, parent_key).where(F.col(key).isNotNull()).distinct()
     marked = keys.withColumn(flag, F.lit(True))
     return (df.join(marked, on=key, how="left")
-              .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
+              .select(*df.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag)))

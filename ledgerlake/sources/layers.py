@@ -64,21 +64,38 @@ def read_layer(
     return df.where(F.col(DATE) == _date_lit(run_date)).drop(DATE)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist on its file system (local, HDFS, object store)?
+
+    A metadata call through the session's Hadoop configuration: no job is
+    run and no failed query is raised for a missing path.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
+
+
+def partition_path(root: str, layer: str, entity: str, run_date: str) -> str:
+    return f"{layer_path(root, layer, entity)}/{DATE}={run_date}"
+
+
 def partition_exists(spark: SparkSession, root: str, layer: str, entity: str, run_date: str) -> bool:
-    """Has ``run_date`` been written for ``layer/entity``? (Reads at most one row.)"""
-    try:
-        df = spark.read.parquet(layer_path(root, layer, entity))
-    except AnalysisException:
-        return False
-    if DATE not in df.columns:
-        return False
-    return not df.where(F.col(DATE) == _date_lit(run_date)).limit(1).isEmpty()
+    """Has ``run_date`` been written for ``layer/entity``?
+
+    An empty DataFrame writes no partition directory, so an existing
+    directory means rows were landed for that date.
+    """
+    return path_exists(spark, partition_path(root, layer, entity, run_date))
 
 
 def stored_dates(spark: SparkSession, root: str, layer: str, entity: str) -> DataFrame:
     """Distinct stored partition dates of ``layer/entity`` (empty when nothing is stored)."""
+    path = layer_path(root, layer, entity)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], T.StructType([T.StructField(DATE, T.DateType())]))
     try:
-        df = spark.read.parquet(layer_path(root, layer, entity))
+        df = spark.read.parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], T.StructType([T.StructField(DATE, T.DateType())]))
     return df.select(DATE).distinct()

@@ -3,8 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+# Columns of the driver tables the Bronze derivation reads. Passing them to
+# the reader skips footer sampling (a job per table) and prunes the rest.
+DRIVER_COLUMNS = {
+    "customer": T.StructType([
+        T.StructField("c_custkey", T.LongType()),
+        T.StructField("c_name", T.StringType()),
+        T.StructField("c_mktsegment", T.StringType()),
+    ]),
+    "orders": T.StructType([
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
+    ]),
+    "lineitem": T.StructType([
+        T.StructField("l_orderkey", T.LongType()),
+        T.StructField("l_partkey", T.LongType()),
+        T.StructField("l_suppkey", T.LongType()),
+        T.StructField("l_linenumber", T.IntegerType()),
+        T.StructField("l_quantity", T.DoubleType()),
+        T.StructField("l_returnflag", T.StringType()),
+    ]),
+}
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``<sf_dir>/<name>.parquet`` as a DataFrame (lazy; columns pruned by use)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Rebalance a scan that yields fewer splits than the cluster has cores.
+
+    A source stored as a few unsplittable files (one Parquet row group, a
+    gzip CSV) is read by a few tasks, and every narrow operator after it
+    stays at that parallelism. Then, and only then, a round-robin
+    repartition spreads the rows over all cores. A large input already has
+    enough splits and is returned unchanged, with no shuffle added.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+    """``<sf_dir>/<name>.parquet`` as a DataFrame (lazy; columns pruned by use).
+
+    Tables listed in ``DRIVER_COLUMNS`` are read with that fixed schema.
+    """
+    reader = spark.read
+    if name in DRIVER_COLUMNS:
+        reader = reader.schema(DRIVER_COLUMNS[name])
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if balance else df

@@ -1,0 +1,99 @@
+"""Gold metrics: fan-out, idle users, empty input, per-transaction variants."""
+
+import datetime as dt
+
+from ledgerlake import schemas
+from ledgerlake.plans import gold
+from tests.conftest import rows
+
+TS = dt.datetime(2024, 1, 2, 3, 4, 5)
+
+
+def _users(spark, ids):
+    return spark.createDataFrame([(u, f"n{u}", f"{u}@x", "2024", "s", "bronze") for u in ids],
+                                 schemas.SILVER["users"])
+
+
+def _tx(spark, data):
+    return spark.createDataFrame([(t, u, a, s, TS, "s", "bronze") for t, u, a, s in data],
+                                 schemas.SILVER["transactions"])
+
+
+def _details(spark, data):
+    return spark.createDataFrame([(d, t, m, c, ms, "s", "bronze") for d, t, m, c, ms in data],
+                                 schemas.SILVER["transaction_details"])
+
+
+def test_user_metrics_idle_user(spark):
+    users = _users(spark, ["u1", "u2"])
+    tx = _tx(spark, [("t1", "u1", 10.0, "success"), ("t2", "u1", 30.0, "failed"), ("t3", "u1", 20.0, "success")])
+    out = {r["user_id"]: r for r in gold.gold_user_metrics(users, tx).collect()}
+    u1, u2 = out["u1"], out["u2"]
+    assert (u1.total_transactions, u1.total_amount, u1.avg_amount, u1.max_amount, u1.min_amount) == (3, 60.0, 20.0, 30.0, 10.0)
+    assert (u1.successful_transactions, u1.failed_transactions, u1.success_rate_pct) == (2, 1, 66.67)
+    assert (u2.total_transactions, u2.successful_transactions, u2.failed_transactions) == (0, 0, 0)
+    assert u2.total_amount is None and u2.avg_amount is None and u2.success_rate_pct is None
+    ordered = [r["user_id"] for r in gold.sorted_user_metrics(gold.gold_user_metrics(users, tx)).collect()]
+    assert ordered == ["u1", "u2"]
+
+
+def test_channel_fan_out_reproduced(spark):
+    # N9: one successful transaction with two web details counts twice in the
+    # amount, success count and rate, once in total_transactions
+    tx = _tx(spark, [("t1", "u1", 100.0, "success"), ("t2", "u1", 50.0, "failed")])
+    details = _details(spark, [("d1", "t1", "card", "web", 100), ("d2", "t1", "card", "web", 300),
+                               ("d3", "t2", "pse", "api", 50)])
+    web = {r["channel"]: r for r in gold.dimension_metrics(tx, details, "channel").collect()}["web"]
+    assert (web.total_transactions, web.total_amount, web.avg_amount) == (1, 200.0, 100.0)
+    assert (web.successful, web.failed, web.success_rate_pct, web.avg_processing_time_ms) == (2, 0, 200.0, 200.0)
+    per_tx = {r["channel"]: r for r in gold.channel_metrics_per_tx(tx, details).collect()}["web"]
+    assert (per_tx.total_transactions, per_tx.total_amount, per_tx.successful, per_tx.success_rate_pct) == (1, 100.0, 1, 100.0)
+
+
+def test_summary_left_join_and_fan_out(spark):
+    tx = _tx(spark, [("t1", "u1", 100.0, "success"), ("t2", "u2", 50.0, "failed"), ("t3", "u1", 10.0, "success")])
+    details = _details(spark, [("d1", "t1", "card", "web", 100), ("d2", "t1", "card", "web", 300)])
+    s = gold.gold_summary(tx, details, with_generated_at=False).first()
+    assert (s.total_transactions, s.active_users) == (3, 2)
+    assert s.total_volume == 260.0              # t1 counted twice, t3 once without details
+    assert s.avg_transaction_amount == 65.0
+    assert s.overall_success_rate_pct == 75.0   # 3 success rows of 4
+    assert s.avg_processing_time_ms == 200.0
+    p = gold.summary_per_tx(tx, details).first()
+    assert (p.total_volume, p.overall_success_rate_pct) == (160.0, 66.67)
+    assert "generated_at" in gold.gold_summary(tx, details).columns
+
+
+def test_empty_transactions(spark):
+    users = _users(spark, ["u1"])
+    tx = _tx(spark, [])
+    details = _details(spark, [])
+    u = gold.gold_user_metrics(users, tx).first()
+    assert (u.total_transactions, u.successful_transactions, u.total_amount, u.success_rate_pct) == (0, 0, None, None)
+    s = gold.summary_metrics(tx, details).collect()
+    assert len(s) == 1
+    assert (s[0].total_transactions, s[0].active_users, s[0].total_volume, s[0].overall_success_rate_pct) == (0, 0, None, None)
+    assert gold.gold_channel_metrics(tx, details).count() == 0
+
+
+def test_gold_schemas(spark):
+    users = _users(spark, ["u1"])
+    tx = _tx(spark, [("t1", "u1", 1.0, "success")])
+    details = _details(spark, [("d1", "t1", "card", "web", 10)])
+    built = gold.build_gold({"users": users, "transactions": tx, "transaction_details": details})
+    for name, df in built.items():
+        assert [(f.name, f.dataType) for f in df.schema.fields] == \
+               [(f.name, f.dataType) for f in schemas.GOLD[name].fields], name
+
+
+def test_dimension_plan_has_no_expand(spark):
+    tx = _tx(spark, [("t1", "u1", 1.0, "success")])
+    details = _details(spark, [("d1", "t1", "card", "web", 10)])
+    plan = gold.gold_channel_metrics(tx, details)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_success_rate_by_month(spark):
+    tx = _tx(spark, [("t1", "u1", 1.0, "success"), ("t2", "u1", 1.0, "failed"), ("t3", "u1", 1.0, "failed")])
+    r = gold.success_rate_by_month(tx).first()
+    assert (r.month, r.total_transactions, r.successful, r.success_rate_pct) == (dt.date(2024, 1, 1), 3, 1, 33.33)
