@@ -25,9 +25,11 @@ from ledgerlake.sources.layers import layer_path, partition_exists, read_layer,
 from ledgerlake.schemas import SEQ
 
 
-def _write_counted(df: DataFrame, root: str, layer: str, entity: str, run_date: str, sort_by=None) -> tuple[str, int]:
+def _write_counted(df: DataFrame, root: str, layer: str, entity: str, run_date: str, sort_by=None,
+                   bounded: bool = False) -> tuple[str, int]:
     obs = Observation(f"{layer}_{entity}")
-    path = write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, layer, entity, run_date, sort_by)
+    path = write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, layer, entity, run_date, sort_by,
+                       bounded)
     return path, int(obs.get["rows"])
 
 
@@ -103,6 +105,11 @@ def gold_order(name: str) -> list | None:
     }[name]()
 
 
+# Gold tables with one row per domain value (channel, payment method) or a
+# single row: their size does not grow with the data.
+BOUNDED_GOLD = ("gold_channel_metrics", "gold_payment_method_metrics", "gold_summary")
+
+
 def run_gold(spark: SparkSession, root: str, run_date: str) -> dict:
     """Build the four Gold tables from Silver and write them (sorted as specified)."""
     silver = load_layer(spark, root, "silver", run_date)
@@ -111,7 +118,8 @@ def run_gold(spark: SparkSession, root: str, run_date: str) -> dict:
     for name, df in gold.items():
         # The writer's own ordering (partition column first) replaces the
         # plan's ORDER BY, so the order is passed to it explicitly.
-        paths[name], counts[name] = _write_counted(df, root, "gold", name, run_date, gold_order(name))
+        paths[name], counts[name] = _write_counted(df, root, "gold", name, run_date, gold_order(name),
+                                                   bounded=name in BOUNDED_GOLD)
     return {"paths": paths, "counts": counts}
 
 

@@ -23,6 +23,7 @@ from ledgerlake.constants import (
     MSG_DUPES,
     MSG_FRESHNESS,
     MSG_GATE,
+    MSG_NO_TIMESTAMP,
     MSG_NULLS,
     MSG_ORPHAN_DETAILS,
     MSG_ORPHAN_TX,
@@ -34,9 +35,8 @@ from ledgerlake.constants import (
     VALID_STATUSES,
 )
 from ledgerlake.functions.numeric import round_half_even_ratio
-from ledgerlake.functions.timefmt import iso_text, parse_timestamp, timestamp_text
+from ledgerlake.functions.timefmt import iso_text, parse_timestamp
 from ledgerlake.operators.integrity import orphans
-from ledgerlake.operators.rules import in_domain
 from ledgerlake.schemas import QUALITY_REPORT
 
 USER_NULL_COLS = ("user_id", "name", "email")
@@ -44,31 +44,49 @@ TX_NULL_COLS = ("transaction_id", "user_id", "amount", "status")
 FLOAT_COLS = ("amount",)
 
 
+def _missing_sql(col: str) -> str:
+    """pandas ``isnull`` semantics: NULL, and NaN for floating columns."""
+    return f"({col} IS NULL OR isnan({col}))" if col in FLOAT_COLS else f"{col} IS NULL"
+
+
 def _is_missing(col: str) -> Column:
-    c = F.col(col)
-    return c.isNull() | F.isnan(c) if col in FLOAT_COLS else c.isNull()
+    return F.expr(_missing_sql(col))
+
+
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _fmt(template: str, **cols: Column) -> Column:
-    """Fill a ``{name}`` message template with column values (as text)."""
-    parts: list[Column] = []
+def _fmt(template: str, **values: str) -> str:
+    """A ``{name}`` message template as a SQL ``concat`` of literals and values."""
+    parts: list[str] = []
     rest = template
     while "{" in rest:
         head, _, tail = rest.partition("{")
         name, _, rest = tail.partition("}")
         if head:
-            parts.append(F.lit(head))
-        value = cols[name]
-        parts.append(value.cast("string") if not isinstance(value, str) else F.lit(value))
+            parts.append(_sql_str(head))
+        parts.append(f"CAST({values[name]} AS STRING)")
     if rest:
-        parts.append(F.lit(rest))
-    return F.concat(*parts)
+        parts.append(_sql_str(rest))
+    return f"concat({', '.join(parts)})"
 
 
-def _duplicates(key: Column) -> Column:
+def _in_domain_sql(col: str, domain) -> str:
+    values = ", ".join(_sql_str(v) for v in domain)
+    return f"coalesce({col} IN ({values}), false)"
+
+
+def _duplicates_sql(key: str) -> str:
     """Rows whose key already appeared (NULL keys are equal to each other)."""
-    null_group = F.coalesce(F.max(F.when(key.isNull(), 1).otherwise(0)), F.lit(0))
-    return F.count(F.lit(1)) - F.countDistinct(key) - null_group
+    return (f"count(1) - count(DISTINCT {key}) "
+            f"- coalesce(max(IF({key} IS NULL, 1, 0)), 0)")
+
+
+def _timestamp_text_sql(col: str) -> str:
+    frac = f"date_format({col}, 'SSSSSS')"
+    return (f"coalesce(concat(date_format({col}, 'yyyy-MM-dd HH:mm:ss'), "
+            f"IF({frac} != '000000', concat('.', {frac}), '')), {_sql_str(MSG_NO_TIMESTAMP)})")
 
 
 def _freshness_threshold(as_of: str | None) -> Column:
@@ -76,6 +94,10 @@ def _freshness_threshold(as_of: str | None) -> Column:
     return now - F.make_interval(days=F.lit(FRESHNESS_DAYS))
 
 
+def _agg(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    return df.agg(*[F.expr(sql).alias(name) for name, sql in exprs.items()])
+
+
 def collect_metrics(
     users: DataFrame,
     transactions: DataFrame,
@@ -85,26 +107,22 @@ def collect_metrics(
     as_of: str | None = None,
 ) -> DataFrame:
     """Every number the checks need, as one row (one aggregate pass per table)."""
-    u = users.agg(
-        F.count(F.lit(1)).alias("users_rows"),
-        *[F.count_if(_is_missing(c)).alias(f"users_null_{c}") for c in USER_NULL_COLS],
-    )
-    tx_id = F.col("transaction_id")
-    t = transactions.agg(
-        F.count(F.lit(1)).alias("tx_rows"),
-        *[F.count_if(_is_missing(c)).alias(f"tx_null_{c}") for c in TX_NULL_COLS],
-        F.count_if(F.col("amount") <= 0).alias("tx_amount_not_positive"),
-        F.count_if(~in_domain("status", VALID_STATUSES)).alias("tx_bad_status"),
-        _duplicates(tx_id).alias("tx_duplicates"),
-        F.max("created_at").alias("tx_latest"),
-    )
-    d = details.agg(F.count(F.lit(1)).alias("details_rows"))
-    tb = bronze_transactions.agg(F.count(F.lit(1)).alias("tx_bronze_rows"))
-    db = bronze_details.agg(F.count(F.lit(1)).alias("details_bronze_rows"))
-    ot = orphans(transactions.select("user_id"), users, "user_id").agg(
-        F.count(F.lit(1)).alias("tx_orphans"))
-    od = orphans(details.select("transaction_id"), transactions, "transaction_id").agg(
-        F.count(F.lit(1)).alias("details_orphans"))
+    u = _agg(users, {"users_rows": "count(1)",
+                     **{f"users_null_{c}": f"count_if({_missing_sql(c)})" for c in USER_NULL_COLS}})
+    t = _agg(transactions, {
+        "tx_rows": "count(1)",
+        **{f"tx_null_{c}": f"count_if({_missing_sql(c)})" for c in TX_NULL_COLS},
+        "tx_amount_not_positive": "count_if(amount <= 0)",
+        "tx_bad_status": f"count_if(NOT {_in_domain_sql('status', VALID_STATUSES)})",
+        "tx_duplicates": _duplicates_sql("transaction_id"),
+        "tx_latest": "max(created_at)",
+    })
+    d = _agg(details, {"details_rows": "count(1)"})
+    tb = _agg(bronze_transactions, {"tx_bronze_rows": "count(1)"})
+    db = _agg(bronze_details, {"details_bronze_rows": "count(1)"})
+    ot = _agg(orphans(transactions.select("user_id"), users, "user_id"), {"tx_orphans": "count(1)"})
+    od = _agg(orphans(details.select("transaction_id"), transactions, "transaction_id"),
+              {"details_orphans": "count(1)"})
 
     stacked = u
     for part in (t, d, tb, db, ot, od):
@@ -118,63 +136,57 @@ def collect_metrics(
 
 @dataclass(frozen=True)
 class Check:
+    """One report row: pass condition and detail text as SQL over the metrics row."""
     entity: str
     name: str
-    passed: Column
-    detail: Column
+    passed: str
+    detail: str
 
 
 def _checks() -> list[Check]:
-    c = F.col
     checks = [
-        Check("users", "record_count", c("users_rows") > 0, _fmt(MSG_RECORD_COUNT, n=c("users_rows"))),
-        Check("transactions", "record_count", c("tx_rows") > 0, _fmt(MSG_RECORD_COUNT, n=c("tx_rows"))),
-        Check("transaction_details", "record_count", c("details_rows") > 0,
-              _fmt(MSG_RECORD_COUNT, n=c("details_rows"))),
-        Check("transactions", "bronze_to_silver_traceability", c("tx_rows") <= c("tx_bronze_rows"),
-              _fmt(MSG_TRACE_TX, b=c("tx_bronze_rows"), s=c("tx_rows"),
-                   d=c("tx_bronze_rows") - c("tx_rows"))),
-        Check("transaction_details", "bronze_to_silver_traceability",
-              c("details_rows") <= c("details_bronze_rows"),
-              _fmt(MSG_TRACE_DETAILS, b=c("details_bronze_rows"), s=c("details_rows"))),
+        Check("users", "record_count", "users_rows > 0", _fmt(MSG_RECORD_COUNT, n="users_rows")),
+        Check("transactions", "record_count", "tx_rows > 0", _fmt(MSG_RECORD_COUNT, n="tx_rows")),
+        Check("transaction_details", "record_count", "details_rows > 0",
+              _fmt(MSG_RECORD_COUNT, n="details_rows")),
+        Check("transactions", "bronze_to_silver_traceability", "tx_rows <= tx_bronze_rows",
+              _fmt(MSG_TRACE_TX, b="tx_bronze_rows", s="tx_rows", d="tx_bronze_rows - tx_rows")),
+        Check("transaction_details", "bronze_to_silver_traceability", "details_rows <= details_bronze_rows",
+              _fmt(MSG_TRACE_DETAILS, b="details_bronze_rows", s="details_rows")),
     ]
     for col in USER_NULL_COLS:
-        n = c(f"users_null_{col}")
-        checks.append(Check("users", f"null_check_{col}", n == 0, _fmt(MSG_NULLS, n=n, col=col)))
+        n = f"users_null_{col}"
+        checks.append(Check("users", f"null_check_{col}", f"{n} = 0", _fmt(MSG_NULLS, n=n, col=_sql_str(col))))
     for col in TX_NULL_COLS:
-        n = c(f"tx_null_{col}")
-        checks.append(Check("transactions", f"null_check_{col}", n == 0, _fmt(MSG_NULLS, n=n, col=col)))
+        n = f"tx_null_{col}"
+        checks.append(Check("transactions", f"null_check_{col}", f"{n} = 0",
+                            _fmt(MSG_NULLS, n=n, col=_sql_str(col))))
     checks += [
-        Check("transactions", "amount_positive", c("tx_amount_not_positive") == 0,
-              _fmt(MSG_AMOUNT, n=c("tx_amount_not_positive"))),
-        Check("transactions", "status_standardized", c("tx_bad_status") == 0,
-              _fmt(MSG_STATUS, n=c("tx_bad_status"))),
-        Check("transactions", "no_duplicates", c("tx_duplicates") == 0,
-              _fmt(MSG_DUPES, n=c("tx_duplicates"))),
-        Check("transactions", "referential_integrity_users", c("tx_orphans") == 0,
-              _fmt(MSG_ORPHAN_TX, n=c("tx_orphans"))),
-        Check("transaction_details", "referential_integrity_transactions", c("details_orphans") == 0,
-              _fmt(MSG_ORPHAN_DETAILS, n=c("details_orphans"))),
-        Check("transactions", "freshness", c("tx_fresh"),
-              _fmt(MSG_FRESHNESS, ts=timestamp_text(c("tx_latest")))),
+        Check("transactions", "amount_positive", "tx_amount_not_positive = 0",
+              _fmt(MSG_AMOUNT, n="tx_amount_not_positive")),
+        Check("transactions", "status_standardized", "tx_bad_status = 0", _fmt(MSG_STATUS, n="tx_bad_status")),
+        Check("transactions", "no_duplicates", "tx_duplicates = 0", _fmt(MSG_DUPES, n="tx_duplicates")),
+        Check("transactions", "referential_integrity_users", "tx_orphans = 0",
+              _fmt(MSG_ORPHAN_TX, n="tx_orphans")),
+        Check("transaction_details", "referential_integrity_transactions", "details_orphans = 0",
+              _fmt(MSG_ORPHAN_DETAILS, n="details_orphans")),
+        Check("transactions", "freshness", "tx_fresh",
+              _fmt(MSG_FRESHNESS, ts=_timestamp_text_sql("tx_latest"))),
     ]
     return checks
 
 
 def report_from_metrics(metrics: DataFrame, checked_at: str | None = None) -> DataFrame:
-    """Explode the one-row metrics into the report rows, in check order."""
-    rows = F.array(*[
-        F.struct(
-            F.lit(ch.entity).alias("entity"),
-            F.lit(ch.name).alias("check"),
-            F.when(F.coalesce(ch.passed, F.lit(False)), PASS).otherwise(FAIL).alias("status"),
-            ch.detail.alias("detail"),
-        )
-        for ch in _checks()
-    ])
+    """Unpivot the one-row metrics into the report rows (``stack``), in check order."""
+    checks = _checks()
+    args = ", ".join(
+        f"{_sql_str(c.entity)}, {_sql_str(c.name)}, "
+        f"CASE WHEN coalesce({c.passed}, false) THEN {_sql_str(PASS)} ELSE {_sql_str(FAIL)} END, {c.detail}"
+        for c in checks
+    )
+    rows = metrics.selectExpr(f"stack({len(checks)}, {args}) AS (entity, `check`, status, detail)")
     stamp = F.lit(checked_at) if checked_at is not None else iso_text(F.localtimestamp())
-    return (metrics.select(F.explode(rows).alias("r"))
-                   .select("r.entity", "r.check", "r.status", "r.detail", stamp.alias("checked_at")))
+    return rows.select("entity", "check", "status", "detail", stamp.alias("checked_at"))
 
 
 def quality_report(
@@ -246,7 +258,7 @@ def null_counts(df: DataFrame, entity: str, cols) -> DataFrame:
 
 def duplicate_counts(df: DataFrame, entity: str, key: str) -> DataFrame:
     """(entity, key, duplicates): rows whose key value already appeared."""
-    return df.agg(_duplicates(F.col(key)).alias("duplicates")).select(
+    return df.agg(F.expr(_duplicates_sql(key)).alias("duplicates")).select(
         F.lit(entity).alias("entity"), F.lit(key).alias("key"), "duplicates")
 
 

@@ -6,51 +6,72 @@ exist for: duplicate keys (with a later copy that differs), NULLs in
 required fields, non-positive amounts and durations, mixed case and padding
 in coded fields, values outside a domain, and references to removed parents.
 
-Copies are produced with ``explode`` over a per-row array, so every source
-table is scanned once.
+Each column is one SQL expression (``selectExpr``): Spark parses it once on
+the JVM side. Copies are produced with ``explode`` over a per-row array, so
+every source table is scanned once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.schemas import SEQ
 from ledgerlake.sources.tables import read_table
 
-
-def _longs(*values: int) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<bigint>")
-
-
-def _prefixed(prefix: str, col: Column) -> Column:
-    return F.concat(F.lit(prefix), col.cast("string"))
+# The Bronze derivation of FIXTURES.md, column by column.
+USERS_COPIES = "explode(IF(c_custkey % 29 = 0, array(0L, 1L), array(0L)))"
+USERS = {
+    "user_id": "concat('U', CAST(c_custkey AS STRING))",
+    "name": "CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE c_name END",
+    "email": "CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE concat(' ', c_name, '@', c_mktsegment, '.CO ') END",
+    "created_at": "concat('2024-01-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), 'T00:00:00')",
+}
+
+TX_COPIES = ("explode(concat(array(0L), IF(o_orderkey % 50 = 0, array(1L), array()), "
+             "IF(o_orderkey % 53 = 0, array(2L), array())))")
+TX = {
+    "transaction_id": "concat('T', CAST(o_orderkey AS STRING))",
+    "user_id": "concat('U', CAST(o_custkey AS STRING))",
+    "amount": ("CASE WHEN o_orderkey % 83 = 0 THEN NULL "
+               "WHEN _seq = 2 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) "
+               "ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) - 20000 AS DOUBLE) END"),
+    "status": ("CASE WHEN o_orderkey % 101 = 0 THEN NULL "
+               "WHEN o_orderkey % 30 = 5 OR o_custkey % 61 = 0 THEN 'pending' "
+               "WHEN o_orderkey % 6 IN (0, 5) THEN 'success' "
+               "WHEN o_orderkey % 6 = 1 THEN 'failed' "
+               "WHEN o_orderkey % 6 = 2 THEN 'SUCCESS' "
+               "WHEN o_orderkey % 6 = 3 THEN ' Failed ' "
+               "ELSE 'FAILED' END"),
+    "created_at": "replace(CAST(o_orderdate AS STRING), ' ', 'T')",
+}
+
+DETAILS = {
+    "detail_id": "concat('D', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING))",
+    "transaction_id": "concat('T', CAST(l_orderkey AS STRING))",
+    "payment_method": ("CASE WHEN l_partkey % 89 = 0 THEN NULL "
+                       "WHEN l_suppkey % 6 = 0 THEN 'card' "
+                       "WHEN l_suppkey % 6 = 1 THEN 'PSE' "
+                       "WHEN l_suppkey % 6 = 2 THEN ' cash' "
+                       "WHEN l_suppkey % 6 = 3 THEN 'Nequi' "
+                       "WHEN l_suppkey % 6 = 4 THEN 'daviplata' "
+                       "ELSE 'crypto' END"),
+    "channel": ("CASE WHEN l_partkey % 97 = 0 THEN NULL "
+                "WHEN l_partkey % 59 = 0 THEN 'pos' "
+                "WHEN l_returnflag = 'A' THEN 'Web' "
+                "WHEN l_returnflag = 'N' THEN ' mobile ' "
+                "ELSE 'api' END"),
+    "processing_time_ms": "CAST(l_quantity * 60 AS BIGINT) - 100",
+    SEQ: "l_partkey * 100000 + l_suppkey",
+}
+
+
+def _exprs(columns: dict[str, str]) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in columns.items()]
 
 
 def bronze_users(customer: DataFrame) -> DataFrame:
     """users(user_id, name, email, created_at, _seq): every 29th customer arrives twice."""
-    k = F.col("c_custkey")
-    copies = F.when(k % 29 == 0, _longs(0, 1)).otherwise(_longs(0))
-    return customer.select(
-        _prefixed("U", k).alias("user_id"),
-        F.when(k % 41 == 0, F.lit(None)).otherwise(F.col("c_name")).alias("name"),
-        F.when(k % 37 == 0, F.lit(None))
-         .otherwise(F.concat(F.lit(" "), F.col("c_name"), F.lit("@"), F.col("c_mktsegment"), F.lit(".CO ")))
-         .alias("email"),
-        F.concat(F.lit("2024-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00"))
-         .alias("created_at"),
-        F.explode(copies).alias(SEQ),
-    )
-
-
-def _status(k: Column, c: Column) -> Column:
-    return (F.when(k % 101 == 0, F.lit(None))
-             .when((k % 30 == 5) | (c % 61 == 0), "pending")
-             .when((k % 6 == 0) | (k % 6 == 5), "success")
-             .when(k % 6 == 1, "failed")
-             .when(k % 6 == 2, "SUCCESS")
-             .when(k % 6 == 3, " Failed ")
-             .otherwise("FAILED"))
+    return customer.selectExpr(*_exprs(USERS), f"{USERS_COPIES} AS {SEQ}")
 
 
 def bronze_transactions(orders: DataFrame) -> DataFrame:
@@ -61,48 +82,14 @@ def bronze_transactions(orders: DataFrame) -> DataFrame:
     with the full total price (``_seq`` 2), so keep-first must run before the
     amount rule.
     """
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    copies = F.concat(
-        _longs(0),
-        F.when(k % 50 == 0, _longs(1)).otherwise(_longs()),
-        F.when(k % 53 == 0, _longs(2)).otherwise(_longs()),
-    )
-    exploded = orders.select(k, c, "o_totalprice", "o_orderdate", F.explode(copies).alias(SEQ))
-    price = F.col("o_totalprice").cast("decimal(18,2)")
-    amount = F.when(F.col(SEQ) == 2, price).otherwise(price - 20000)
-    return exploded.select(
-        _prefixed("T", k).alias("transaction_id"),
-        _prefixed("U", c).alias("user_id"),
-        F.when(k % 83 == 0, F.lit(None)).otherwise(amount.cast("double")).alias("amount"),
-        _status(k, c).alias("status"),
-        F.replace(F.col("o_orderdate").cast("string"), F.lit(" "), F.lit("T")).alias("created_at"),
-        F.col(SEQ),
-    )
+    copies = orders.selectExpr("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+                               f"{TX_COPIES} AS {SEQ}")
+    return copies.selectExpr(*_exprs(TX), SEQ)
 
 
 def bronze_transaction_details(lineitem: DataFrame) -> DataFrame:
     """transaction_details(detail_id, transaction_id, payment_method, channel, processing_time_ms, _seq)."""
-    ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    method = (F.when(pk % 89 == 0, F.lit(None))
-               .when(sk % 6 == 0, "card")
-               .when(sk % 6 == 1, "PSE")
-               .when(sk % 6 == 2, " cash")
-               .when(sk % 6 == 3, "Nequi")
-               .when(sk % 6 == 4, "daviplata")
-               .otherwise("crypto"))
-    channel = (F.when(pk % 97 == 0, F.lit(None))
-                .when(pk % 59 == 0, "pos")
-                .when(F.col("l_returnflag") == "A", "Web")
-                .when(F.col("l_returnflag") == "N", " mobile ")
-                .otherwise("api"))
-    return lineitem.select(
-        F.concat(F.lit("D"), ok.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("detail_id"),
-        _prefixed("T", ok).alias("transaction_id"),
-        method.alias("payment_method"),
-        channel.alias("channel"),
-        ((F.col("l_quantity") * 60).cast("long") - 100).alias("processing_time_ms"),
-        (pk * 100000 + sk).alias(SEQ),
-    )
+    return lineitem.selectExpr(*_exprs(DETAILS))
 
 
 def bronze_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

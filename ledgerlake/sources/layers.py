@@ -31,15 +31,21 @@ def write_layer(
     entity: str,
     run_date: str,
     sort_by: list[Column] | None = None,
+    bounded: bool = False,
 ) -> str:
     """Write ``df`` as the ``run_date`` partition of ``layer/entity``; return the dataset path.
 
     ``sort_by`` keeps an output order inside the files (the partition column
-    leads, so the writer does not add a sort of its own).
+    leads, so the writer does not add a sort of its own). ``bounded`` marks
+    a result whose size is fixed by a domain (one row per channel, a
+    one-row summary): it is written as one file sorted locally, without the
+    sampling job and range shuffle of a global sort.
     """
     path = layer_path(root, layer, entity)
     out = df.withColumn(DATE, _date_lit(run_date))
-    if sort_by:
+    if bounded:
+        out = out.coalesce(1).sortWithinPartitions(F.col(DATE), *(sort_by or []))
+    elif sort_by:
         out = out.orderBy(F.col(DATE), *sort_by)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
