@@ -474,6 +474,12 @@ SQL: dict[str, str] = {
     "gold_summary": _q(GOLD_SUMMARY),
     "channel_metrics_per_tx": _q(CHANNEL_PER_TX),
     "summary_per_tx": _q(SUMMARY_PER_TX),
+    "gold_user_metrics_sql": _q(GOLD_USER_METRICS),
+    "gold_channel_metrics_sql": _q(GOLD_CHANNEL),
+    "gold_payment_method_metrics_sql": _q(GOLD_PAYMENT),
+    "gold_summary_sql": _q(GOLD_SUMMARY),
+    "stored_gold_user_metrics": _q(GOLD_USER_METRICS),
+    "stored_quality_report": _q(REPORT_SILVER + "SELECT * FROM report"),
     "null_checks": _q(NULL_CHECKS),
     "duplicate_count": _q(DUPLICATE_COUNT),
     "traceability": _q(TRACEABILITY),

@@ -24,7 +24,8 @@ from ledgerlake.functions.timefmt import parse_timestamp
 from ledgerlake.operators.integrity import orphans, require_reference
 from ledgerlake.operators.rules import require_in, require_positive
 from ledgerlake.plans import gold, quality, silver
-from ledgerlake.plans.medallion import ingest_bronze
+from ledgerlake.plans import sql as gold_sql
+from ledgerlake.plans.medallion import ingest_bronze, read_gold, run_medallion
 from ledgerlake.session import scratch_root
 from ledgerlake.sources.fixtures import bronze_sources
 from ledgerlake.sources.layers import read_layer, write_layer
@@ -223,6 +224,34 @@ def q_summary_per_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.summary_per_tx(s["transactions"], s["transaction_details"])
 
 
+def q_gold_sql(name: str) -> Query:
+    """A Gold table from its SQL text over the registered Silver views."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        gold_sql.register_views(_silver(spark, sf_dir))
+        df = gold_sql.gold_sql(spark, name)
+        return df.drop("generated_at") if "generated_at" in df.columns else df
+    return run
+
+
+def _stored_run(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
+    root = scratch_root(spark, "stored")
+    result = run_medallion(spark, _bronze(spark, sf_dir), root, RUN_DATE, as_of=AS_OF,
+                           processed_at=PROCESSED_AT, checked_at=CHECKED_AT)
+    return root, result
+
+
+def q_stored_gold_user_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job (Bronze -> Silver -> Gold -> report) through the store; Gold read back."""
+    root, _ = _stored_run(spark, sf_dir)
+    return read_gold(spark, root, "gold_user_metrics", RUN_DATE)
+
+
+def q_stored_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job through the store; the CSV quality report read back."""
+    _, result = _stored_run(spark, sf_dir)
+    return spark.read.schema(schemas.QUALITY_REPORT).option("header", True).csv(result["quality"]["path"])
+
+
 # --------------------------------------------------------------------------- quality
 
 def q_null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,6 +327,12 @@ QUERIES: dict[str, Query] = {
     "gold_summary": q_gold_summary,
     "channel_metrics_per_tx": q_channel_metrics_per_tx,
     "summary_per_tx": q_summary_per_tx,
+    "gold_user_metrics_sql": q_gold_sql("gold_user_metrics"),
+    "gold_channel_metrics_sql": q_gold_sql("gold_channel_metrics"),
+    "gold_payment_method_metrics_sql": q_gold_sql("gold_payment_method_metrics"),
+    "gold_summary_sql": q_gold_sql("gold_summary"),
+    "stored_gold_user_metrics": q_stored_gold_user_metrics,
+    "stored_quality_report": q_stored_quality_report,
     "null_checks": q_null_checks,
     "duplicate_count": q_duplicate_count,
     "traceability": q_traceability,
