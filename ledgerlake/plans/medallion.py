@@ -20,7 +20,12 @@ from ledgerlake import schemas
 from ledgerlake.constants import ENTITIES
 from ledgerlake.plans.gold import build_gold
 from ledgerlake.plans.quality import assert_quality, quality_report, quality_summary, write_report_csv
-from ledgerlake.plans.silver import clean_transaction_details, clean_transactions, clean_users
+from ledgerlake.plans.silver import (
+    clean_transaction_details,
+    clean_transactions,
+    clean_users,
+    rejects_from,
+)
 from ledgerlake.sources.layers import layer_path, partition_exists, read_layer, write_layer
 from ledgerlake.schemas import SEQ
 
@@ -82,17 +87,20 @@ def run_silver(
     """Clean Bronze into Silver; users first, each parent read back from Silver."""
     bronze = load_layer(spark, root, "bronze", run_date)
     counts, paths = {}, {}
+    observed: dict[str, dict] = {e: {} for e in ENTITIES}
     paths["users"], counts["users"] = _write_counted(
-        clean_users(bronze["users"], processed_at), root, "silver", "users", run_date)
+        clean_users(bronze["users"], processed_at, observed["users"]), root, "silver", "users", run_date)
     users = read_layer(spark, root, "silver", "users", run_date, schemas.SILVER["users"])
     paths["transactions"], counts["transactions"] = _write_counted(
-        clean_transactions(bronze["transactions"], users, processed_at),
+        clean_transactions(bronze["transactions"], users, processed_at, observed["transactions"]),
         root, "silver", "transactions", run_date)
     tx = read_layer(spark, root, "silver", "transactions", run_date, schemas.SILVER["transactions"])
     paths["transaction_details"], counts["transaction_details"] = _write_counted(
-        clean_transaction_details(bronze["transaction_details"], tx, processed_at, null_policy),
+        clean_transaction_details(bronze["transaction_details"], tx, processed_at, null_policy,
+                                  observed["transaction_details"]),
         root, "silver", "transaction_details", run_date)
-    return {"paths": paths, "counts": counts}
+    rejects = {e: rejects_from(obs) for e, obs in observed.items()}
+    return {"paths": paths, "counts": counts, "rejects": rejects}
 
 
 def gold_order(name: str) -> list | None:

@@ -19,7 +19,10 @@ the semi-join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlake.constants import CHANNELS, PAYMENT_METHODS, UNKNOWN, VALID_STATUSES
@@ -63,15 +66,84 @@ def _drop_seq(df: DataFrame) -> DataFrame:
     return df.drop(SEQ)
 
 
+# --------------------------------------------------------------------------- steps
+#
+# Each cleaner is an ordered list of (rule, transform) steps; the rule names
+# the rows the step removes. The same list drives the plain plan and the
+# observed plan of the pipeline, where a count after every step (collected
+# during the write, no extra job) gives the rows each rule rejected.
+
+Step = tuple[str, Callable[[DataFrame], DataFrame]]
+
+
+def user_steps() -> list[Step]:
+    return [
+        ("duplicate_key", lambda df: dedupe("users", df)),
+        ("missing_required_field", lambda df: require_not_null(df, USER_REQUIRED)),
+    ]
+
+
+def transaction_steps(users_silver: DataFrame | None) -> list[Step]:
+    steps: list[Step] = [
+        ("duplicate_key", lambda df: dedupe("transactions", df)),
+        ("amount_not_positive", lambda df: require_positive(df, "amount")),
+        ("invalid_status", lambda df: require_in(df, "status", VALID_STATUSES)),
+    ]
+    if users_silver is not None:
+        steps.append(("unknown_user", lambda df: require_reference(df, users_silver, USER_KEY)))
+    return steps
+
+
+def detail_steps(tx_silver: DataFrame, null_policy: str = "drop") -> list[Step]:
+    return [
+        ("duplicate_key", lambda df: dedupe("transaction_details", df)),
+        ("unknown_transaction", lambda df: require_reference(df, tx_silver, TX_KEY)),
+        ("invalid_payment_method", lambda df: require_in(df, "payment_method", PAYMENT_METHODS, null_policy)),
+        ("invalid_channel", lambda df: require_in(df, "channel", CHANNELS, null_policy)),
+        ("processing_time_not_positive", lambda df: require_positive(df, "processing_time_ms")),
+    ]
+
+
+INPUT = "_input"
+
+
+def apply_steps(df: DataFrame, steps: list[Step], observed: dict[str, Observation] | None = None) -> DataFrame:
+    """Run the steps in order; with ``observed``, count the rows before and after each."""
+    def mark(frame: DataFrame, name: str) -> DataFrame:
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        observed[name] = obs
+        return frame.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    if observed is not None:
+        df = mark(df, INPUT)
+    for rule, transform in steps:
+        df = transform(df)
+        if observed is not None:
+            df = mark(df, rule)
+    return df
+
+
+def rejects_from(observed: dict[str, Observation]) -> dict[str, int]:
+    """Rows removed by each step, from the counts of an observed run (after its action)."""
+    out, before = {}, None
+    for name, obs in observed.items():
+        rows = int(obs.get["rows"])
+        if before is not None:
+            out[name] = before - rows
+        before = rows
+    return out
+
+
 # --------------------------------------------------------------------------- users
 
-def users_valid(users_bronze: DataFrame) -> DataFrame:
+def users_valid(users_bronze: DataFrame, observed: dict | None = None) -> DataFrame:
     """Deduplicated users with every required field present."""
-    return require_not_null(dedupe("users", users_bronze), USER_REQUIRED)
+    return apply_steps(users_bronze, user_steps(), observed)
 
 
-def clean_users(users_bronze: DataFrame, processed_at: str | None = None) -> DataFrame:
-    df = users_valid(users_bronze).withColumn("email", normalize("email"))
+def clean_users(users_bronze: DataFrame, processed_at: str | None = None,
+                observed: dict | None = None) -> DataFrame:
+    df = users_valid(users_bronze, observed).withColumn("email", normalize("email"))
     return stamp(_drop_seq(df), processed_at)
 
 
@@ -79,14 +151,14 @@ def clean_users(users_bronze: DataFrame, processed_at: str | None = None) -> Dat
 
 def transactions_candidates(tx_bronze: DataFrame) -> DataFrame:
     """Deduplicated transactions passing the row rules (amount, status), before the user check."""
-    df = require_positive(dedupe("transactions", tx_bronze), "amount")
-    return require_in(df, "status", VALID_STATUSES)
+    return apply_steps(tx_bronze, transaction_steps(None))
 
 
 def clean_transactions(
-    tx_bronze: DataFrame, users_silver: DataFrame, processed_at: str | None = None
+    tx_bronze: DataFrame, users_silver: DataFrame, processed_at: str | None = None,
+    observed: dict | None = None,
 ) -> DataFrame:
-    df = require_reference(transactions_candidates(tx_bronze), users_silver, USER_KEY)
+    df = apply_steps(tx_bronze, transaction_steps(users_silver), observed)
     df = df.withColumn("created_at", parse_timestamp("created_at"))
     return stamp(_drop_seq(df), processed_at)
 
@@ -95,16 +167,14 @@ def clean_transactions(
 
 def details_with_transaction(details_bronze: DataFrame, tx_silver: DataFrame) -> DataFrame:
     """Deduplicated details whose transaction is in Silver."""
-    return require_reference(dedupe("transaction_details", details_bronze), tx_silver, TX_KEY)
+    return apply_steps(details_bronze, detail_steps(tx_silver)[:2])
 
 
 def details_valid(
-    details_bronze: DataFrame, tx_silver: DataFrame, null_policy: str = "drop"
+    details_bronze: DataFrame, tx_silver: DataFrame, null_policy: str = "drop",
+    observed: dict | None = None,
 ) -> DataFrame:
-    df = details_with_transaction(details_bronze, tx_silver)
-    df = require_in(df, "payment_method", PAYMENT_METHODS, null_policy)
-    df = require_in(df, "channel", CHANNELS, null_policy)
-    return require_positive(df, "processing_time_ms")
+    return apply_steps(details_bronze, detail_steps(tx_silver, null_policy), observed)
 
 
 def clean_transaction_details(
@@ -112,10 +182,13 @@ def clean_transaction_details(
     tx_silver: DataFrame,
     processed_at: str | None = None,
     null_policy: str = "drop",
+    observed: dict | None = None,
 ) -> DataFrame:
     """``null_policy="drop"`` (default) drops missing payment_method/channel with
     the invalid values; ``"unknown"`` keeps them as "unknown"."""
-    df = details_valid(details_bronze, tx_silver, null_policy)
+    if null_policy not in ("drop", "unknown"):
+        raise ValueError(f"null_policy must be 'drop' or 'unknown', not {null_policy!r}")
+    df = details_valid(details_bronze, tx_silver, null_policy, observed)
     return stamp(_drop_seq(df), processed_at)
 
 

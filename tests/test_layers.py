@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
+from ledgerlake.plans import silver
 from ledgerlake.plans.medallion import ingest_bronze, read_gold, run_medallion, with_arrival_order
 from ledgerlake.plans.quality import QualityGateError
 from ledgerlake.session import scratch_root
@@ -104,6 +105,13 @@ def test_end_to_end_run_is_idempotent(spark):
     kw = dict(as_of="2001-12-31T00:00:00", processed_at="2024-01-31T06:00:00", checked_at="2024-01-31T06:00:00")
     result = run_medallion(spark, sources, root, "2024-01-31", gate=True, **kw)
     assert result["silver"]["counts"] == {"users": 142, "transactions": 1283, "transaction_details": 3334}
+    # per-rule rejects observed during the writes equal the one-pass reject table
+    s = silver.build_silver(sources, "x")
+    table = {(r.entity, r.rule): r.rejected
+             for r in silver.silver_rejects(sources, s["users"], s["transactions"]).collect()}
+    observed = {(e, rule): n for e, rules in result["silver"]["rejects"].items() for rule, n in rules.items()}
+    assert observed == table
+    assert observed[("transactions", "duplicate_key")] == 59
     assert result["quality"]["summary"]["passed"] == 18
     gold1 = read_gold(spark, root, "gold_user_metrics", "2024-01-31")
     snapshot = rows(gold1, "user_id", "total_transactions", "total_amount")
