@@ -8,7 +8,6 @@ pruning: only the directory of the requested date is listed and scanned.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,12 +95,20 @@ def partition_exists(spark: SparkSession, root: str, layer: str, entity: str, ru
 
 
 def stored_dates(spark: SparkSession, root: str, layer: str, entity: str) -> DataFrame:
-    """Distinct stored partition dates of ``layer/entity`` (empty when nothing is stored)."""
+    """Stored partition dates of ``layer/entity`` (empty when nothing is stored).
+
+    Read from the directory listing (one entry per date, no data file is
+    opened), so the cost grows with the number of dates, not with the data.
+    """
+    schema = T.StructType([T.StructField(DATE, T.DateType())])
     path = layer_path(root, layer, entity)
     if not path_exists(spark, path):
-        return spark.createDataFrame([], T.StructType([T.StructField(DATE, T.DateType())]))
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], T.StructType([T.StructField(DATE, T.DateType())]))
-    return df.select(DATE).distinct()
+        return spark.createDataFrame([], schema)
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{DATE}="
+    values = [st.getPath().getName()[len(prefix):] for st in fs.listStatus(hpath)
+              if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+    return spark.createDataFrame([(v,) for v in values], f"{DATE} string").select(
+        F.col(DATE).cast("date").alias(DATE))

@@ -56,7 +56,10 @@ def ingest_new_dates(
                     .join(fresh, DATE, "left_semi"))
     if date_col != DATE:
         rows = rows.drop(date_col)
-    (rows.repartition(F.col(DATE))
+    # Rebalance (not repartition) by date: rows of a date are grouped into
+    # few files, and AQE splits a date holding a large share of the rows
+    # over several tasks instead of sending it to one.
+    (rows.hint("rebalance", DATE)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(DATE).parquet(layer_path(root, layer, entity)))
     return fresh
