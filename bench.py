@@ -34,6 +34,15 @@ HEADLINE = [
 ]
 
 
+def _calibration() -> float:
+    """Seconds for a fixed pure-Python loop: the host's speed at bench time."""
+    t0 = time.perf_counter()
+    total = 0
+    for i in range(5_000_000):
+        total += i
+    return round(time.perf_counter() - t0, 3)
+
+
 def _time(fn) -> float:
     t0 = time.perf_counter()
     fn()
@@ -70,6 +79,7 @@ def main() -> None:
     full()
     results["medallion_run"] = round(statistics.median(_time(full) for _ in range(runs)), 3)
 
+    calibration = _calibration()
     match = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
         "metric": "total_median_sec",
@@ -79,6 +89,7 @@ def main() -> None:
         "sf": float(match.group(1)) if match else sf_dir,
         "cpus": cpus,
         "runs": runs,
+        "host_calibration_sec": calibration,
     }))
     spark.stop()
 
