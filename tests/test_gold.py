@@ -4,7 +4,6 @@ import datetime as dt
 
 from ledgerlake import schemas
 from ledgerlake.plans import gold
-from tests.conftest import rows
 
 TS = dt.datetime(2024, 1, 2, 3, 4, 5)
 

@@ -1,10 +1,8 @@
 """Layer store, idempotent re-runs, incremental loads, end-to-end run."""
 
-import os
-
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake import schemas
 from ledgerlake.plans import silver
 from ledgerlake.plans.medallion import ingest_bronze, read_gold, run_medallion, with_arrival_order
 from ledgerlake.plans.quality import QualityGateError
@@ -14,8 +12,6 @@ from ledgerlake.sources.layers import partition_exists, read_layer, stored_dates
 from ledgerlake.streaming import already_processed, ingest_new_dates, new_dates, stream_into_bronze
 from tests.conftest import SF_SMOKE, rows
 
-import pytest
-
 
 def _users(spark, n, tag):
     return spark.createDataFrame([(f"u{i}", tag) for i in range(n)], "user_id string, name string")
