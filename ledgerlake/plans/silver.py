@@ -40,6 +40,7 @@ from ledgerlake.operators.rules import (
     require_positive,
 )
 from ledgerlake.schemas import SEQ
+from ledgerlake.sources.tables import LazyFrames
 
 USER_KEY = "user_id"
 TX_KEY = "transaction_id"
@@ -193,13 +194,20 @@ def clean_transaction_details(
 
 
 def build_silver(
-    bronze: dict[str, DataFrame], processed_at: str | None = None, null_policy: str = "drop"
-) -> dict[str, DataFrame]:
-    """All three Silver tables as lazy plans, users first (integrity order)."""
-    users = clean_users(bronze["users"], processed_at)
-    tx = clean_transactions(bronze["transactions"], users, processed_at)
-    details = clean_transaction_details(bronze["transaction_details"], tx, processed_at, null_policy)
-    return {"users": users, "transactions": tx, "transaction_details": details}
+    bronze, processed_at: str | None = None, null_policy: str = "drop"
+) -> LazyFrames:
+    """The three Silver tables as plans, each built when first used.
+
+    Transactions reference the Silver users and details the Silver
+    transactions (integrity order), so asking for details builds all three.
+    """
+    frames: LazyFrames = LazyFrames({
+        "users": lambda: clean_users(bronze["users"], processed_at),
+        "transactions": lambda: clean_transactions(bronze["transactions"], frames["users"], processed_at),
+        "transaction_details": lambda: clean_transaction_details(
+            bronze["transaction_details"], frames["transactions"], processed_at, null_policy),
+    })
+    return frames
 
 
 # --------------------------------------------------------------------------- rejects

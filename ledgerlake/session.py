@@ -60,7 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context, use the setting as is
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured.rstrip("/")
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)

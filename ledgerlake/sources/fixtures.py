@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.schemas import SEQ
-from ledgerlake.sources.tables import read_table
+from ledgerlake.sources.tables import LazyFrames, read_table
 
 # The Bronze derivation of FIXTURES.md, column by column.
 USERS_COPIES = "explode(IF(c_custkey % 29 = 0, array(0L, 1L), array(0L)))"
@@ -92,10 +92,10 @@ def bronze_transaction_details(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(*_exprs(DETAILS))
 
 
-def bronze_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three Bronze inputs of one scale-factor directory."""
-    return {
-        "users": bronze_users(read_table(spark, sf_dir, "customer")),
-        "transactions": bronze_transactions(read_table(spark, sf_dir, "orders")),
-        "transaction_details": bronze_transaction_details(read_table(spark, sf_dir, "lineitem")),
-    }
+def bronze_sources(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    """The three Bronze inputs of one scale-factor directory (each plan built when first used)."""
+    return LazyFrames({
+        "users": lambda: bronze_users(read_table(spark, sf_dir, "customer")),
+        "transactions": lambda: bronze_transactions(read_table(spark, sf_dir, "orders")),
+        "transaction_details": lambda: bronze_transaction_details(read_table(spark, sf_dir, "lineitem")),
+    })

@@ -75,12 +75,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     A metadata call through the session's Hadoop configuration: no job is
     run and no failed query is raised for a missing path.
     """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _hadoop_fs(spark, path)
+    if fs is None:
+        try:
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+            return True
+        except Exception:
+            return False
     return bool(fs.exists(hpath))
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) of ``path`` through the session's Hadoop configuration, or (None, None)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+    except Exception:  # Spark Connect: no JVM gateway on the client
+        return None, None
+
+
 def partition_path(root: str, layer: str, entity: str, run_date: str) -> str:
     return f"{layer_path(root, layer, entity)}/{DATE}={run_date}"
 
@@ -104,9 +118,9 @@ def stored_dates(spark: SparkSession, root: str, layer: str, entity: str) -> Dat
     path = layer_path(root, layer, entity)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _hadoop_fs(spark, path)
+    if fs is None:
+        return spark.read.parquet(path).select(DATE).distinct()
     prefix = f"{DATE}="
     values = [st.getPath().getName()[len(prefix):] for st in fs.listStatus(hpath)
               if st.isDirectory() and st.getPath().getName().startswith(prefix)]

@@ -2,9 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+
+class LazyFrames(Mapping):
+    """A name -> DataFrame mapping whose plans are built on first access.
+
+    Building a plan costs analysis time on the driver; a job that needs
+    one entity of a layer should not pay for the others.
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
 # Columns of the driver tables the Bronze derivation reads. Passing them to
 # the reader skips footer sampling (a job per table) and prunes the rest.
 DRIVER_COLUMNS = {
@@ -40,8 +65,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     enough splits and is returned unchanged, with no shuffle added.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no driver-side context (Spark Connect): keep the scan as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)
 
