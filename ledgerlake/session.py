@@ -19,7 +19,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "128m",
-    "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     # Capturing a Python call site for every Column costs several py4j round
     # trips per expression; production jobs do not need it (static setting).
