@@ -97,8 +97,12 @@ def dimension_metrics(
     avg_processing_time_ms, successful, failed, success_rate_pct.
     """
     pairs = _details_per_transaction(details, [dim])
-    tx = transactions.select(TX, "amount", "status")
-    j = tx.join(pairs, TX, "inner")
+    j = transactions.select(TX, "amount", "status").join(pairs, TX, "inner")
+    return _dimension_agg(j, dim, per_transaction)
+
+
+def _dimension_agg(j: DataFrame, dim: str, per_transaction: bool) -> DataFrame:
+    """Metrics per ``dim`` from one row per (transaction, dim) with its detail count ``_n``."""
     w = F.lit(1).cast("long") if per_transaction else F.col("_n")
     status = F.col("status")
     g = j.groupBy(dim).agg(
@@ -122,17 +126,24 @@ def dimension_metrics(
     )
 
 
-def gold_channel_metrics(transactions: DataFrame, details: DataFrame) -> DataFrame:
-    return dimension_metrics(transactions, details, "channel").orderBy(F.desc("total_amount"), "channel")
+def _order_channel(m: DataFrame) -> DataFrame:
+    return m.orderBy(F.desc("total_amount"), "channel")
 
 
-def gold_payment_method_metrics(transactions: DataFrame, details: DataFrame) -> DataFrame:
-    m = dimension_metrics(transactions, details, "payment_method")
+def _order_payment(m: DataFrame) -> DataFrame:
     return (m.select("payment_method", "total_transactions", "total_amount", "avg_amount",
                      "avg_processing_time_ms", "success_rate_pct")
              .orderBy(F.desc("total_transactions"), "payment_method"))
 
 
+def gold_channel_metrics(transactions: DataFrame, details: DataFrame) -> DataFrame:
+    return _order_channel(dimension_metrics(transactions, details, "channel"))
+
+
+def gold_payment_method_metrics(transactions: DataFrame, details: DataFrame) -> DataFrame:
+    return _order_payment(dimension_metrics(transactions, details, "payment_method"))
+
+
 def channel_metrics_per_tx(transactions: DataFrame, details: DataFrame) -> DataFrame:
     """Channel metrics with each transaction weighed once per channel it used."""
     return dimension_metrics(transactions, details, "channel", per_transaction=True)
@@ -150,6 +161,11 @@ def summary_metrics(
     per_tx = _details_per_transaction(details, [])
     j = (transactions.select(TX, "user_id", "amount", "status", "created_at")
                      .join(per_tx, TX, "left"))
+    return _summary_agg(j, per_transaction, generated_at)
+
+
+def _summary_agg(j: DataFrame, per_transaction: bool, generated_at: Column | None) -> DataFrame:
+    """The summary from one row per transaction with its detail count ``_n`` (NULL: no details)."""
     w = F.lit(1).cast("long") if per_transaction else F.coalesce(F.col("_n"), F.lit(1).cast("long"))
     tx_id, amount, status = F.col(TX), F.col("amount"), F.col("status")
     g = j.agg(
@@ -189,7 +205,8 @@ def summary_per_tx(transactions: DataFrame, details: DataFrame) -> DataFrame:
     return summary_metrics(transactions, details, per_transaction=True)
 
 
-def build_gold(silver: dict[str, DataFrame], with_generated_at: bool = True) -> dict[str, DataFrame]:
+def build_gold(silver, with_generated_at: bool = True) -> dict[str, DataFrame]:
+    """The four Gold tables, each as its own plan (details read once per table)."""
     users, tx, details = silver["users"], silver["transactions"], silver["transaction_details"]
     return {
         "gold_user_metrics": sorted_user_metrics(gold_user_metrics(users, tx)),
@@ -199,6 +216,51 @@ def build_gold(silver: dict[str, DataFrame], with_generated_at: bool = True) ->
     }
 
 
+# --------------------------------------------------------------------------- shared facts
+
+FACT_DIMS = ("channel", "payment_method")
+_TX_ATTRS = ("user_id", "amount", "status", "created_at")
+
+
+def transaction_facts(transactions: DataFrame, details: DataFrame) -> DataFrame:
+    """``transactions LEFT JOIN details``, details reduced per (transaction, channel, method).
+
+    One pass over the details serves the channel, payment-method and
+    summary tables; a transaction without details keeps one row with NULL
+    detail columns. Persist it when several tables are derived from it.
+    """
+    per = _details_per_transaction(details, list(FACT_DIMS))
+    return transactions.select(TX, *_TX_ATTRS).join(per, TX, "left")
+
+
+def _facts_by(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per transaction (and ``keys``) with summed detail counts.
+
+    The transaction attributes are functionally dependent on
+    transaction_id, so grouping by them as well leaves the groups unchanged
+    and keeps every aggregate buffer fixed-width (hash aggregation).
+    """
+    return facts.groupBy(TX, *keys, *_TX_ATTRS).agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_ms_sum").alias("_ms_sum"),
+        F.sum("_ms_n").alias("_ms_n"),
+    )
+
+
+def gold_from_facts(users: DataFrame, transactions: DataFrame, facts: DataFrame,
+                    with_generated_at: bool = True) -> dict[str, DataFrame]:
+    """The four Gold tables, the detail-based ones derived from shared ``transaction_facts``."""
+    matched = facts.where(F.col("_n").isNotNull())
+    gen = F.current_timestamp() if with_generated_at else None
+    return {
+        "gold_user_metrics": sorted_user_metrics(gold_user_metrics(users, transactions)),
+        "gold_channel_metrics": _order_channel(_dimension_agg(_facts_by(matched, ["channel"]), "channel", False)),
+        "gold_payment_method_metrics": _order_payment(
+            _dimension_agg(_facts_by(matched, ["payment_method"]), "payment_method", False)),
+        "gold_summary": _summary_agg(_facts_by(facts, []), False, gen),
+    }
+
+
 def success_rate_by_month(transactions: DataFrame) -> DataFrame:
     """Success rate per calendar month of created_at: (month, total, successful, rate)."""
     month = F.trunc(F.to_date("created_at"), "month").alias("month")

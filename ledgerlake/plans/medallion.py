@@ -13,12 +13,13 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.constants import ENTITIES
-from ledgerlake.plans.gold import build_gold
+from ledgerlake.plans.gold import build_gold, gold_from_facts, transaction_facts
 from ledgerlake.plans.quality import assert_quality, quality_report, quality_summary, write_report_csv
 from ledgerlake.plans.silver import (
     clean_transaction_details,
@@ -26,7 +27,14 @@ from ledgerlake.plans.silver import (
     clean_users,
     rejects_from,
 )
-from ledgerlake.sources.layers import layer_path, partition_exists, read_layer, write_layer
+from ledgerlake.sources.layers import (
+    layer_path,
+    partition_exists,
+    partition_path,
+    read_layer,
+    stored_bytes,
+    write_layer,
+)
 from ledgerlake.schemas import SEQ
 
 
@@ -118,17 +126,44 @@ def gold_order(name: str) -> list | None:
 BOUNDED_GOLD = ("gold_channel_metrics", "gold_payment_method_metrics", "gold_summary")
 
 
-def run_gold(spark: SparkSession, root: str, run_date: str) -> dict:
-    """Build the four Gold tables from Silver and write them (sorted as specified)."""
+# Above this stored size of Silver details, the three detail-based Gold
+# tables share one persisted join instead of each scanning and joining the
+# details again.
+SHARE_DETAILS_MIN_BYTES = 256 * 1024 * 1024
+
+
+def run_gold(spark: SparkSession, root: str, run_date: str, share_details: bool | None = None) -> dict:
+    """Build the four Gold tables from Silver and write them (sorted as specified).
+
+    ``share_details`` (default: decided by the stored size of the Silver
+    details) derives channel, payment-method and summary metrics from one
+    persisted ``transaction_facts`` join: one scan and one shuffle of the
+    details instead of three. Small inputs are cheaper to re-read than to cache.
+    """
     silver = load_layer(spark, root, "silver", run_date)
-    gold = build_gold(silver)
+    users, tx, details = silver["users"], silver["transactions"], silver["transaction_details"]
+    if share_details is None:
+        size = stored_bytes(spark, partition_path(root, "silver", "transaction_details", run_date))
+        share_details = size is not None and size >= SHARE_DETAILS_MIN_BYTES
+    facts = None
+    if share_details:
+        # Persisted for the duration of the Gold writes (a lost block is
+        # recomputed from the stored Silver tables).
+        facts = transaction_facts(tx, details).persist(StorageLevel.MEMORY_AND_DISK)
+        tables = gold_from_facts(users, tx, facts)
+    else:
+        tables = build_gold(silver)
     paths, counts = {}, {}
-    for name, df in gold.items():
-        # The writer's own ordering (partition column first) replaces the
-        # plan's ORDER BY, so the order is passed to it explicitly.
-        paths[name], counts[name] = _write_counted(df, root, "gold", name, run_date, gold_order(name),
-                                                   bounded=name in BOUNDED_GOLD)
-    return {"paths": paths, "counts": counts}
+    try:
+        for name, df in tables.items():
+            # The writer's own ordering (partition column first) replaces the
+            # plan's ORDER BY, so the order is passed to it explicitly.
+            paths[name], counts[name] = _write_counted(df, root, "gold", name, run_date, gold_order(name),
+                                                       bounded=name in BOUNDED_GOLD)
+    finally:
+        if facts is not None:
+            facts.unpersist()
+    return {"paths": paths, "counts": counts, "shared_details": share_details}
 
 
 def read_gold(spark: SparkSession, root: str, name: str, run_date: str) -> DataFrame:

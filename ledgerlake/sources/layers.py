@@ -95,6 +95,14 @@ def _hadoop_fs(spark: SparkSession, path: str):
         return None, None
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int | None:
+    """Bytes stored under ``path`` (file system metadata only); None when unknown."""
+    fs, hpath = _hadoop_fs(spark, path)
+    if fs is None or not fs.exists(hpath):
+        return None
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def partition_path(root: str, layer: str, entity: str, run_date: str) -> str:
     return f"{layer_path(root, layer, entity)}/{DATE}={run_date}"
 

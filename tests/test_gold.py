@@ -96,3 +96,16 @@ def test_success_rate_by_month(spark):
     tx = _tx(spark, [("t1", "u1", 1.0, "success"), ("t2", "u1", 1.0, "failed"), ("t3", "u1", 1.0, "failed")])
     r = gold.success_rate_by_month(tx).first()
     assert (r.month, r.total_transactions, r.successful, r.success_rate_pct) == (dt.date(2024, 1, 1), 3, 1, 33.33)
+
+
+def test_gold_from_shared_facts_equals_separate_plans(spark, bronze_smoke):
+    from ledgerlake.plans import silver
+
+    s = silver.build_silver(bronze_smoke, "x")
+    separate = gold.build_gold(s, with_generated_at=False)
+    facts = gold.transaction_facts(s["transactions"], s["transaction_details"])
+    shared = gold.gold_from_facts(s["users"], s["transactions"], facts, with_generated_at=False)
+    for name in separate:
+        a = sorted(tuple(r) for r in separate[name].collect())
+        b = sorted(tuple(r) for r in shared[name].collect())
+        assert a == b, name
