@@ -27,3 +27,28 @@ def test_no_cartesian_products(spark):
     for name in NO_WRITE:
         plan = registry.QUERIES[name](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_shared_facts_regroup_reuses_join_partitioning(spark, bronze_smoke):
+    """With a sort-merge join (large inputs), regrouping the cached facts needs no new exchange."""
+    from ledgerlake.plans import gold, silver
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        s = silver.build_silver(bronze_smoke, "x")
+        facts = gold.transaction_facts(s["transactions"], s["transaction_details"]).persist()
+        facts.count()
+        ch = gold.gold_from_facts(s["users"], s["transactions"], facts)["gold_channel_metrics"]
+        ch.collect()
+        lines = ch._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line)
+        above = lines[:scan]
+        assert not any("Exchange hashpartitioning(transaction_id" in line for line in above)
+        assert sum("Exchange" in line for line in above) == 2   # by channel, then the range sort
+        facts.unpersist()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
