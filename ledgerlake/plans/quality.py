@@ -120,9 +120,8 @@ def collect_metrics(
     d = _agg(details, {"details_rows": "count(1)"})
     tb = _agg(bronze_transactions, {"tx_bronze_rows": "count(1)"})
     db = _agg(bronze_details, {"details_bronze_rows": "count(1)"})
-    ot = _agg(orphans(transactions.select("user_id"), users, "user_id"), {"tx_orphans": "count(1)"})
-    od = _agg(orphans(details.select("transaction_id"), transactions, "transaction_id"),
-              {"details_orphans": "count(1)"})
+    ot = orphan_rows(transactions, users, "user_id").withColumnRenamed("orphan_rows", "tx_orphans")
+    od = orphan_rows(details, transactions, "transaction_id").withColumnRenamed("orphan_rows", "details_orphans")
 
     stacked = u
     for part in (t, d, tb, db, ot, od):
@@ -134,6 +133,18 @@ def collect_metrics(
     )
 
 
+def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """One row: how many ``child`` rows have a NULL or unknown ``key`` (``orphan_rows``).
+
+    Child rows are counted per key first (a partial aggregate before the
+    shuffle), so the anti-join sees one row per key: a key holding a third
+    of the rows costs one row, not a skewed partition.
+    """
+    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return orphans(per_key, parent, key).agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("orphan_rows"))
+
+
 @dataclass(frozen=True)
 class Check:
     """One report row: pass condition and detail text as SQL over the metrics row."""

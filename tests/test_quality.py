@@ -72,3 +72,10 @@ def test_summary_of_empty_report(spark):
 def test_duplicates_count_null_keys_once(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "k string")
     assert quality.duplicate_counts(df, "x", "k").first().duplicates == 2
+
+
+def test_orphan_rows_counts_rows_not_keys(spark):
+    child = spark.createDataFrame([("u1",), ("u9",), ("u9",), ("u9",), (None,), (None,)], "user_id string")
+    parent = spark.createDataFrame([("u1",), (None,)], "user_id string")
+    assert quality.orphan_rows(child, parent, "user_id").first().orphan_rows == 5
+    assert quality.orphan_rows(child.where("user_id = 'u1'"), parent, "user_id").first().orphan_rows == 0
