@@ -23,20 +23,26 @@ def reject_table(
     rule_names: Sequence[str],
     copies_col: str | None = None,
     duplicate_rule: str = "duplicate_key",
+    weight_col: str | None = None,
+    removed_col: str | None = None,
 ) -> DataFrame:
     """One aggregate pass -> rows (entity, rule, rejected), one per rule, zeros included.
 
-    ``classified`` is the deduplicated frame carrying ``rule_col`` (from
-    :func:`first_failed_rule`) and, optionally, the copies count of
-    :func:`keep_first`, which gives the rows removed by deduplication.
+    ``classified`` carries ``rule_col`` (from :func:`first_failed_rule`).
+    It is either one row per deduplicated row, with ``copies_col`` (the
+    copies count of :func:`keep_first`), or pre-counted rows, with
+    ``weight_col`` (rows per class) and ``removed_col`` (copies removed by
+    deduplication).
     """
+    weight = F.col(weight_col) if weight_col else F.lit(1)
     counts = []
     names = []
-    if copies_col:
-        counts.append(F.coalesce(F.sum(F.col(copies_col) - 1), F.lit(0)).cast("long"))
+    if copies_col or removed_col:
+        removed = F.col(copies_col) - 1 if copies_col else F.col(removed_col)
+        counts.append(F.coalesce(F.sum(removed), F.lit(0)).cast("long"))
         names.append(duplicate_rule)
     for name in rule_names:
-        counts.append(F.count_if(F.col(rule_col) == name).cast("long"))
+        counts.append(F.coalesce(F.sum(F.when(F.col(rule_col) == name, weight)), F.lit(0)).cast("long"))
         names.append(name)
     one_row = classified.agg(*[c.alias(f"_r{i}") for i, c in enumerate(counts)])
     rows = F.array(*[

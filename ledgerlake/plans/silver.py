@@ -213,7 +213,10 @@ def build_silver(
 # --------------------------------------------------------------------------- rejects
 
 _RULE = "_rule"
+_PRE = "_row_rule"
 _COPIES = "_copies"
+_ROWS = "_rows"
+_REMOVED = "_removed"
 
 USER_RULES = ("missing_required_field",)
 TX_RULES = ("amount_not_positive", "invalid_status", "unknown_user")
@@ -231,8 +234,9 @@ def silver_rejects(
 
     A row is charged to the first rule it fails, in the order the cleaning
     applies them; ``duplicate_key`` counts the copies removed by keep-first.
-    One aggregate pass per entity after the dedupe (plus the key lookup for
-    the reference rule).
+    The row rules are evaluated per row; rows are then counted per
+    (foreign key, outcome) before the reference lookup, so the join sees one
+    row per key and outcome however many rows share a key.
     """
     u = dedupe("users", bronze["users"], copies_col=_COPIES)
     required = F.lit(True)
@@ -241,28 +245,37 @@ def silver_rejects(
     u = u.withColumn(_RULE, first_failed_rule([(USER_RULES[0], required)]))
 
     t = dedupe("transactions", bronze["transactions"], copies_col=_COPIES)
-    t = reference_flag(t, silver_users, USER_KEY, "_user_ok")
-    t = t.withColumn(_RULE, first_failed_rule([
+    t = t.withColumn(_PRE, first_failed_rule([
         ("amount_not_positive", is_positive(t, "amount")),
         ("invalid_status", in_domain(normalize("status"), VALID_STATUSES)),
-        ("unknown_user", F.col("_user_ok")),
     ]))
+    t = reference_flag(_per_key(t, USER_KEY), silver_users, USER_KEY, "_ref_ok")
+    t = t.withColumn(_RULE, F.coalesce(F.col(_PRE), F.when(~F.col("_ref_ok"), F.lit("unknown_user"))))
 
     d = dedupe("transaction_details", bronze["transaction_details"], copies_col=_COPIES)
-    d = reference_flag(d, silver_transactions, TX_KEY, "_tx_ok")
     methods, channels = list(PAYMENT_METHODS), list(CHANNELS)
     method, channel = normalize("payment_method"), normalize("channel")
     if null_policy == "unknown":
         method, channel = F.coalesce(method, F.lit(UNKNOWN)), F.coalesce(channel, F.lit(UNKNOWN))
         methods.append(UNKNOWN)
         channels.append(UNKNOWN)
-    d = d.withColumn(_RULE, first_failed_rule([
-        ("unknown_transaction", F.col("_tx_ok")),
+    d = d.withColumn(_PRE, first_failed_rule([
         ("invalid_payment_method", in_domain(method, methods)),
         ("invalid_channel", in_domain(channel, channels)),
         ("processing_time_not_positive", is_positive(d, "processing_time_ms")),
     ]))
+    d = reference_flag(_per_key(d, TX_KEY), silver_transactions, TX_KEY, "_ref_ok")
+    d = d.withColumn(_RULE, F.when(~F.col("_ref_ok"), F.lit("unknown_transaction")).otherwise(F.col(_PRE)))
 
+    weighted = {"weight_col": _ROWS, "removed_col": _REMOVED}
     return (reject_table("users", u, _RULE, USER_RULES, _COPIES)
-            .unionByName(reject_table("transactions", t, _RULE, TX_RULES, _COPIES))
-            .unionByName(reject_table("transaction_details", d, _RULE, DETAIL_RULES, _COPIES)))
+            .unionByName(reject_table("transactions", t, _RULE, TX_RULES, **weighted))
+            .unionByName(reject_table("transaction_details", d, _RULE, DETAIL_RULES, **weighted)))
+
+
+def _per_key(df: DataFrame, key: str) -> DataFrame:
+    """Rows and removed copies per (key, row-rule outcome): partial aggregation before the shuffle."""
+    return df.groupBy(key, _PRE).agg(
+        F.count(F.lit(1)).alias(_ROWS),
+        F.sum(F.col(_COPIES) - 1).alias(_REMOVED),
+    )
