@@ -63,3 +63,33 @@ def test_gold_with_hot_transaction_and_user(spark):
     tx_full = tx.withColumns({"_silver_processed_at": F.lit("s"), "_source": F.lit("bronze")})
     dupes = quality.duplicate_counts(tx_full.unionByName(tx_full.where("user_id = 'hot'")), "tx", "transaction_id")
     assert dupes.first().duplicates == 900
+
+
+def test_rejects_with_hot_unknown_user(spark):
+    from ledgerlake.plans import silver
+
+    users_b = spark.createDataFrame([("u1", "A", "a@x", "2024-01-01T00:00:00", 0)], schemas.BRONZE["users"])
+    tx_b = spark.range(5000).select(
+        F.concat(F.lit("t"), (F.col("id") % 4000).cast("string")).alias("transaction_id"),
+        F.when(F.col("id") % 5 == 0, "u1").otherwise("hot").alias("user_id"),
+        F.when(F.col("id") % 7 == 0, -1.0).otherwise(10.0).alias("amount"),
+        F.lit("success").alias("status"),
+        F.lit("2024-01-02T00:00:00").alias("created_at"),
+        F.col("id").alias("_seq"),
+    ).repartition(8)
+    details_b = spark.createDataFrame([("d1", "t0", "card", "web", 10, 0)], schemas.BRONZE["transaction_details"])
+    bronze = {"users": users_b, "transactions": tx_b, "transaction_details": details_b}
+    s = silver.build_silver(bronze, "x")
+    got = {(r.entity, r.rule): r.rejected
+           for r in silver.silver_rejects(bronze, s["users"], s["transactions"]).collect()}
+    # keep-first per transaction id: the lowest id among id, id + 4000
+    kept = {}
+    for i in range(5000):
+        kept.setdefault(f"t{i % 4000}", i)
+    amount_bad = sum(1 for i in kept.values() if i % 7 == 0)
+    hot = sum(1 for i in kept.values() if i % 7 != 0 and i % 5 != 0)
+    assert got[("transactions", "duplicate_key")] == 1000
+    assert got[("transactions", "amount_not_positive")] == amount_bad
+    assert got[("transactions", "invalid_status")] == 0
+    assert got[("transactions", "unknown_user")] == hot
+    assert s["transactions"].count() == 4000 - amount_bad - hot
