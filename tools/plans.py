@@ -38,7 +38,7 @@ NOTES = {
                                    "shuffles; with the sort-merge join chosen for large inputs the cache is "
                                    "hash-partitioned by transaction_id, which already satisfies the regroup's "
                                    "distribution.",
-    "quality_report": "One aggregate per table and one anti-join count per foreign key, stacked with Union "
+    "quality_report": "One aggregate per table and one anti-join count per foreign key (child rows counted per key first), stacked with Union "
                       "and folded into one row, then Generate(stack) into 18 rows.",
 }
 
