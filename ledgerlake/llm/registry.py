@@ -73,10 +73,10 @@ FROM marked GROUP BY doc_id
 OP3_SQL = f"""
 WITH RECURSIVE cut AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_FOLD}),
-         '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w FROM documents),
+         '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
 sh AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM cut),
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM cut),
 size AS (SELECT c.doc_id, count(s) AS n FROM cut c LEFT JOIN sh USING (doc_id) GROUP BY 1),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
          GROUP BY 1, 2),
@@ -96,7 +96,7 @@ def _op8_sql() -> str:
     rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in whens) + " END"
     verdict = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in whens) + " END"
     labels = ", ".join(f"'{x}'" for x in url_filter.LISTED_LABELS)
-    params = (f"list_sort(list_filter(string_split(coalesce({query}, ''), '&'), p -> p <> '' AND NOT "
+    params = (f"list_sort(list_filter(string_split(coalesce({query}, ''), '&'), lambda p: p <> '' AND NOT "
               f"regexp_matches(p, '^({url_filter.TRACKING})(=|$)')))")
     return f"""
 WITH cut AS (SELECT page_id, {host} AS host, {path} AS path, {params} AS params FROM pages),
