@@ -5,12 +5,12 @@ are partitioned into groups of similar sets: classes that share a MinHash band
 are compared with the smallest of the band, and verified links are closed into
 groups. The token-group matrix then holds each group's token union, reduced to
 the tokens that can witness a link: with every set in one global token order
-(rare first), two sets whose overlap is at least ``o`` share at least
-``HITS`` tokens of their first ``n - o + HITS``. So a set q can link into a
-group only if its own leading tokens meet the group's union in ``HITS`` tokens
-and the group has a member of a fitting size. Only such groups are opened;
-their members are bounded once more and the rest is verified on the whole
-sets. Links within a group need no further test: the result is the connected
+(rare first), two sets whose overlap is at least ``o`` share at least ``h``
+tokens of their first ``n - o + h``, for any h. With ``h`` a twentieth of the
+set (``needed_hits``), a set q can link into a group only if its leading tokens
+meet the group's union in that many tokens and the group has a member of a
+fitting size. Only such groups are opened; their members are bounded once more
+and the rest is verified on the whole sets. Links within a group need no further test: the result is the connected
 component, which they do not change. Exact: no cap, no missed link.
 
 The order ranks tokens by frequency buckets counted over all documents, which
@@ -25,13 +25,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import small_batches, stage, words
 from ledgerlake.llm.components import components
 
-HITS = 2
 BANDS, ROWS = 6, 4
 BUCKETS = 1 << 20
 LOCAL_TOP = 2048  # frequent buckets that one task reports
@@ -76,6 +75,15 @@ def min_overlap(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
+def needed_hits(n: int) -> int:
+    """Leading tokens that two sets of at least n tokens share if they link."""
+    return max(2, -(-n // 20))
+
+
+def _hits(n: Column) -> Column:
+    return F.greatest(F.lit(2), F.ceil(n / 20))
+
+
 def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return den * both >= num * (len(x) + len(y) - both) and both > 0
@@ -119,7 +127,7 @@ def _describe(k: int, num: int, den: int, heavy: tuple[np.ndarray, np.ndarray]):
         mins = (s[None, :] * factors[:, None]).min(axis=1)
         bands = [xxhash.xxh64_intdigest(m.tobytes(), b) - 2**63 for b, m in enumerate(mins.reshape(BANDS, ROWS))]
         order = np.lexsort((s, rank[(s % BUCKETS).astype(np.int64)]))
-        lead = s[order[: min(n, n - min_overlap(n, num, den) + HITS)]]
+        lead = s[order[: min(n, n - min_overlap(n, num, den) + needed_hits(n))]]
         return n, f1, f2, bands, lead.view(np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,15 +205,18 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
     matrix = stage(member.groupBy("tok", F.col("grp").alias("g")).agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max")), "matrix")
     fits = (F.col("n") * num <= F.col("n_max") * den) & (F.col("n_min") * num <= F.col("n") * den)
-    # Upper bound of the overlap of q and group g: HITS common leading tokens at least.
+    # The overlap of q and the union of group g, bounded over the leading tokens; the smallest
+    # fitting member has num/den of q's tokens.
     opened = stage(member.join(matrix, "tok").filter((F.col("grp") > F.col("g")) & fits)
-                   .groupBy("cls", "g").agg(F.count("*").alias("hits")).filter(F.col("hits") >= HITS)
+                   .groupBy("cls", "n", "g").agg(F.count("*").alias("hits"))
+                   .filter(F.col("hits") >= _hits(F.ceil(F.col("n") * num / den)))
                    .select("cls", "g"), "opened")
     q = member.join(opened, "cls").select(F.col("cls").alias("a"), F.col("n").alias("n_a"), "g", "tok")
     inside = member.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("grp").alias("g"), "tok")
     pairs = (q.join(inside, ["g", "tok"])
              .filter((F.col("n_a") * num <= F.col("n_b") * den) & (F.col("n_b") * num <= F.col("n_a") * den))
-             .groupBy("a", "b").agg(F.count("*").alias("hits")).filter(F.col("hits") >= HITS).select("a", "b"))
+             .groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("hits"))
+             .filter(F.col("hits") >= _hits(F.least("n_a", "n_b"))).select("a", "b"))
     far = stage(verified(pairs, docs, k, num, den), "links")
     found = components(near.unionByName(far))
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontaminate, jaccard_join, line_dedup, quality_rules, sharding, url_filter
+from ledgerlake.llm import (attention_lm, decontaminate, jaccard_join, licenses, line_dedup, packing, quality_rules,
+                            sharding, toxicity, url_filter)
 from ledgerlake.llm.common import documents
 
 
@@ -16,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_corpus(documents(spark, sf_dir))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, sf_dir))
 
@@ -39,19 +44,37 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"__stats.{c}").alias(c) for c in base], "base_failed", "kept", "rule")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, documents(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", "severity", "p_toxic", "grade", "toxic")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = documents(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.listed_urls(pages)).select(
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir).select("doc_id", "text", "source"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
+    "op9_packing": op9_packing,
+    "op10_licenses": op10_licenses,
 }
 
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
