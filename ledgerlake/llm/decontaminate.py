@@ -28,6 +28,8 @@ Q = 8
 RATE = 0.1  # edits per character of the item
 BLOCK_CHARS = 2_000_000  # item characters of one pass
 MASK_BITS = 22
+CHUNK = 200_000  # characters searched as one array (a longer text is one chunk)
+GAP = 0xFFFFFFFF  # code between texts: no character, equal to nothing of an item
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -75,6 +77,7 @@ class Index:
         pos = np.concatenate([np.arange(len(p)) for p in per]) if per else item
         order = np.argsort(g, kind="stable")
         self.item, self.pos = item[order], pos[order].astype(np.int64)
+        self.step = self.e[self.item] + 1
         self.grams, self.start = np.unique(g[order], return_index=True)
         self.count = np.diff(np.append(self.start, len(g)))
         self.mask = np.zeros(1 << MASK_BITS, dtype=bool)
@@ -83,39 +86,61 @@ class Index:
         # Items shorter than q have no q-gram: they are sought as they are.
         self.short = [k for k, m in enumerate(self.m) if 0 < m < q]
 
-    def search(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(item position in the block, start, end, edits) of the matches, best of each band."""
-        x = codes(text)
-        out = []
+    def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+        """(text, item, start, end, edits) of the matches, by place in the lists.
+
+        The texts are searched as one array, with gaps that no alignment within
+        a budget can cross.
+        """
+        gap = int(self.e.max(initial=0)) + self.q + 1
+        x = codes(("\0" * gap).join(texts)).copy()
+        lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        begin = np.concatenate([[0], np.cumsum(lengths[:-1] + gap)]).astype(np.int64)
+        for b, n in zip(begin[:-1], lengths[:-1]):
+            x[b + n : b + n + gap] = GAP
+        found = []
         for k in self.short:
-            out += _exact(x, self.codes[k], k)
+            found += _exact(x, self.codes[k], k)
+        bands = []
+        for k, b in self._bands(x):
+            step = int(self.e[k]) + 1
+            bands.append((k, b * step, (b + 2) * step - 1))
+        found += align(self.codes, self.e, x, bands)
+        out = []
+        for k, start, end, edits in found:
+            t = int(np.searchsorted(begin, start, side="right")) - 1
+            out.append((t, k, start - int(begin[t]), min(end - int(begin[t]), int(lengths[t])), edits))
+        return out
+
+    def _bands(self, x: np.ndarray) -> list[tuple[int, int]]:
+        """(item, band) with as many common q-grams as the lemma asks for."""
         g = grams(x, self.q)
-        at = np.flatnonzero(self.mask[(g >> np.uint64(64 - MASK_BITS)).astype(np.int64)]) if len(self.grams) else []
-        if len(at) < self.least:
-            return out
+        if not len(self.grams) or not len(g):
+            return []
+        at = np.flatnonzero(self.mask[g >> np.uint64(64 - MASK_BITS)])
         where = np.searchsorted(self.grams, g[at])
         where[where == len(self.grams)] = 0
         true = self.grams[where] == g[at]
         at, where = at[true], where[true]
         if len(at) < self.least:
-            return out
+            return []
         n = self.count[where]
         entry = np.repeat(self.start[where] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         item = self.item[entry]
         diagonal = np.repeat(at, n) - self.pos[entry]
-        step = self.e[item] + 1
-        band = diagonal // step  # bands band-1 and band hold this diagonal
+        band = diagonal // self.step[entry]  # bands band-1 and band hold this diagonal
         low = int(band.min()) - 1
-        width = int(band.max()) - low + 1
-        key, hits = np.unique(np.concatenate([item * width + band - low, item * width + band - 1 - low]),
-                              return_counts=True)
-        key = key[hits >= self.need[key // width]]
-        for k, b in zip((key // width).tolist(), (key % width + low).tolist()):
-            step = int(self.e[k]) + 1
-            hit = align(self.codes[k], x, b * step, (b + 2) * step - 1, int(self.e[k]))
-            if hit is not None:
-                out.append((k, *hit))
-        return out
+        width = int(band.max()) - low + 2
+        key, hits = np.unique(item * width + band - low, return_counts=True)
+        # half bands k and k+1 make the overlapping band k
+        after = np.zeros_like(hits)
+        after[:-1] = np.where(key[1:] == key[:-1] + 1, hits[1:], 0)
+        before = np.ones(len(key), dtype=bool)
+        before[1:] = key[1:] != key[:-1] + 1
+        whole = hits + after >= self.need[key // width]
+        alone = before & (hits >= self.need[key // width])  # band k-1, whose first half is empty
+        key = np.concatenate([key[whole], key[alone] - 1])
+        return list(zip((key // width).tolist(), (key % width + low).tolist()))
 
 
 def _exact(x: np.ndarray, p: np.ndarray, k: int) -> list[tuple[int, int, int, int]]:
@@ -127,48 +152,102 @@ def _exact(x: np.ndarray, p: np.ndarray, k: int) -> list[tuple[int, int, int, in
     return [(k, int(s), int(s) + len(p), 0) for s in np.flatnonzero(same)]
 
 
-def _last_row(p: np.ndarray, x: np.ndarray, low: int, high: int, free: bool) -> np.ndarray:
-    """Edit distances of all of p to text parts ending on diagonals low..high.
+def _exact_in(p: np.ndarray, x: np.ndarray, low: int, high: int) -> int:
+    """First place of p in x from low to high, or -1."""
+    for s in range(max(0, low), min(len(x) - len(p), high) + 1):
+        if x[s] == p[0] and np.array_equal(x[s : s + len(p)], p):
+            return s
+    return -1
+
+
+def _distances(p: list[np.ndarray], x: np.ndarray, low: np.ndarray, width: np.ndarray, e: np.ndarray,
+               free: bool) -> list[tuple[int, int]]:
+    """For each pattern: (least edit distance of all of it to a part of x, band
+    cell where that part ends), over the diagonals low .. low + width - 1.
 
-    With ``free`` the part may start on any diagonal of the band, else at text
-    position 0. Cells outside the text cost more than any budget.
+    All bands advance together, one pattern character a step. The part starts on
+    any diagonal of the band (``free``) or on diagonal 0 only. A place outside
+    of x equals no character: it costs an edit, like leaving the character out.
+    Bands with no cell within their budget e are given up (distance e + 1).
     """
-    width = high - low + 1
-    big = len(p) + len(x) + 1
-    index = np.arange(width)
-    text = np.full(width + len(p), 2**32 - 1, dtype=np.uint64)
-    a, b = max(0, low), min(len(x), high + len(p))
-    if b > a:
-        text[a - low : b - low] = x[a:b]
-    j = index + low
-    row = np.where((j >= 0) & (j <= len(x)), 0 if free else np.abs(j), big)
+    m = np.array([len(q) for q in p])
+    w, longest = int(width.max()), int(m.max())
+    pattern = np.full((len(p), longest), GAP - 1, dtype=np.uint32)
+    for i, q in enumerate(p):
+        pattern[i, : len(q)] = q
+    at = low[:, None] + np.arange(w + longest)
+    text = np.where((at >= 0) & (at < len(x)), x[np.clip(at, 0, len(x) - 1)], np.uint32(GAP))
+    index = np.arange(w, dtype=np.int32)
+    far = np.int32(1 << 20)
+    out = np.where(index[None, :] >= width[:, None], far, np.int32(0)).astype(np.int32)
+    row = out.copy() if free else np.maximum(out, np.abs(low[:, None] + index).astype(np.int32))
     if not free:
-        row = np.where(j >= 0, row, big)
-    for i, c in enumerate(p):
-        new = row + (text[i : i + width] != c)  # a text position outside never equals c, and stays beyond reach
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        j = index + low + i + 1
-        new = np.where((j >= 0) & (j <= len(x)), new, big)
-        row = np.minimum.accumulate(new - index) + index
-    return row
-
-
-def align(p: np.ndarray, x: np.ndarray, low: int, high: int, e: int) -> tuple[int, int, int] | None:
-    """(start, end, edits) of the best alignment of the whole item p to a part
-    of x on diagonals low..high, or None above e edits."""
-    m = len(p)
-    for s in range(max(0, low), min(len(x) - m, high) + 1):
-        if x[s] == p[0] and np.array_equal(x[s : s + m], p):
-            return s, s + m, 0
-    if e == 0:
-        return None
-    row = _last_row(p, x, low, high, True)
-    k = int(np.argmin(row))
-    if row[k] > e:
-        return None
-    end, edits = low + k + m, int(row[k])
-    back = _last_row(p[::-1], x[max(0, end - m - e) : end][::-1], -e, e, False)
-    return max(0, end - (int(np.argmin(back)) - e + m)), end, edits
+        row[low[:, None] + index < 0] = far
+    live, result = np.arange(len(p)), [(int(b) + 1, 0) for b in e]
+    for i in range(longest):
+        new = row + (text[:, i : i + w] != pattern[:, i : i + 1])
+        np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+        new -= index
+        np.minimum.accumulate(new, axis=1, out=new)
+        new += index
+        row = np.maximum(new, out)
+        done = m == i + 1
+        if done.any():
+            for c in np.flatnonzero(done):
+                k = int(np.argmin(row[c]))
+                if row[c, k] <= e[live[c]]:
+                    result[live[c]] = (int(row[c, k]), k)
+        if done.any() or i % 16 == 15:
+            keep = ~done & (row.min(axis=1) <= e[live])
+            if not keep.any():
+                break
+            if not keep.all():
+                row, text, pattern, out, m, live = (v[keep] for v in (row, text, pattern, out, m, live))
+    return result
+
+
+def align(items: list[np.ndarray], budgets: np.ndarray, x: np.ndarray,
+          bands: list[tuple[int, int, int]], batch: int = 256) -> list[tuple[int, int, int, int]]:
+    """(item, start, end, edits) of the best alignment of the whole item to a part
+    of x in each band (item, low, high); bands above the item's budget give none."""
+    out, rest = [], []
+    for k, low, high in bands:
+        s = _exact_in(items[k], x, low, high)
+        if s >= 0:
+            out.append((k, s, s + len(items[k]), 0))
+        elif budgets[k] > 0:
+            rest.append((k, low, high))
+    rest.sort(key=lambda b: len(items[b[0]]))
+    for c in range(0, len(rest), batch):
+        part = rest[c : c + batch]
+        low = np.array([b for _, b, _ in part])
+        width = np.array([b for _, _, b in part]) - low + 1
+        e = np.array([budgets[k] for k, _, _ in part])
+        for (k, lo, _), best, (d, cell) in zip(part, e, _distances([items[k] for k, _, _ in part], x, low, width, e, True)):
+            if d > best:
+                continue
+            end = min(lo + cell + len(items[k]), len(x))
+            # The same backwards from the end gives the start.
+            back = x[max(0, end - len(items[k]) - int(best)) : end][::-1]
+            (d2, cell2), = _distances([items[k][::-1]], back, np.array([-int(best)]), np.array([2 * int(best) + 1]),
+                                      np.array([best]), False)
+            length = cell2 - int(best) + len(items[k]) if d2 <= best else len(items[k])
+            out.append((k, max(0, end - length), end, d))
+    return out
+
+
+def _chunks(pdf: pd.DataFrame) -> Iterator[tuple[list, list[str]]]:
+    ids, texts, size = [], [], 0
+    for doc, text in zip(pdf["doc_id"], pdf["text"]):
+        if text:
+            ids.append(doc)
+            texts.append(text)
+            size += len(text)
+            if size >= CHUNK:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if texts:
+        yield ids, texts
 
 
 def _matcher(items: list[tuple[int, str]], q: int, rate: float):
@@ -176,15 +255,14 @@ def _matcher(items: list[tuple[int, str]], q: int, rate: float):
         index = Index(items, q, rate)
         for pdf in batches:
             rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                if text:
-                    # neighbouring bands report the same place: the fewest edits win
-                    best: dict = {}
-                    for k, start, end, edits in index.search(text):
-                        place = (k, start)
-                        if place not in best or (edits, end) < best[place]:
-                            best[place] = (edits, end)
-                    rows += [(doc, index.ids[k], s, end, edits) for (k, s), (edits, end) in best.items()]
+            for ids, texts in _chunks(pdf):
+                # neighbouring bands report the same place: the fewest edits win
+                best: dict = {}
+                for t, k, start, end, edits in index.search(texts):
+                    place = (t, k, start)
+                    if place not in best or (edits, end) < best[place]:
+                        best[place] = (edits, end)
+                rows += [(ids[t], index.ids[k], s, end, edits) for (t, k, s), (edits, end) in best.items()]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "start", "end", "edits"])
 
     return run
