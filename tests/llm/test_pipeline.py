@@ -1,0 +1,72 @@
+"""The pipeline's stages against brute force, and registered SQL against DuckDB."""
+
+import random
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from ledgerlake.llm import quality_rules, registry
+from tests.llm.test_operators import brute_components, brute_lines, distance_within, fold, prose
+
+SMOKE = "/root/testdata/sf0.001"
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    rng = random.Random(3)
+    rows = []
+    for d in range(150):
+        text = "\n".join(prose(rng, 12) for _ in range(4))
+        if d % 10 == 0:
+            text = " ".join(w + "###" for w in text.split())
+        rows.append([d, text])
+    for d in range(150, 180):  # near copies, line by line edited so that line dedup leaves them
+        words = rows[d - 149][1].split()
+        words[rng.randrange(len(words))] = "edited"
+        rows.append([d, " ".join(words)])
+    leak = prose(rng, 25)
+    rows.append([200, prose(rng, 30) + " " + leak + " " + prose(rng, 30)])
+    rows += [[201, "a line that two hold for sure\n" + prose(rng, 40)], [202, "A line that two hold for sure\n" + prose(rng, 40)],
+             [203, None], [204, ""], [205, "too short"]]
+    docs = [(d, t, "en", f"s{d % 3}", len(t or "")) for d, t in rows]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d, int(d % 10 != 0)) for d in range(150)], "doc_id long, quality int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    rules = quality_rules.fit_rules(frame, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    kept = {r.doc_id for r in quality_rules.judge(frame, rules).filter("kept").collect()}
+    assert not kept & {203, 204, 205, 0, 10, 20} and len(kept) >= 160
+    step = [(d, t) for d, t in rows if d in kept]
+    step = [(d, t) for d, _, _, t in brute_lines(step)]
+    comp = {d: c for d, _, c in brute_components(step, 5, 80, 100)}
+    step = [(d, t) for d, t in step if comp[d] == d]
+    assert len(step) < len(comp)  # near copies went
+    step = [(d, t) for d, t in step if distance_within(leak, fold(t)) > len(leak) // 10]
+    assert 200 not in dict(step)
+
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = {}
+    for r in packed:
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_tokens
+    assert got == {d: len(t.split()) + 1 for d, t in step}
+
+
+def test_pipeline_stages_keep_the_columns(spark):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    for _, f in corpus_pipeline.STAGES[:-1]:
+        assert f(spark, docs.limit(40), SMOKE).columns == corpus_pipeline.COLUMNS
+    assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_sql_agrees(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
+    df = registry.QUERIES[name](spark, SMOKE)
+    cols = sorted(df.columns)
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({registry.ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(tuple, df.select(cols).collect()), key=repr) == sorted(want, key=repr)
