@@ -16,14 +16,14 @@ import sys
 
 from ledgerlake.plans.medallion import run_medallion
 from ledgerlake.plans.quality import QualityGateError
-from ledgerlake.session import build_session, scratch_root
+from ledgerlake.session import build_session
 from ledgerlake.sources.fixtures import bronze_sources
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="python -m ledgerlake", description=__doc__.splitlines()[0])
     parser.add_argument("--sf-dir", required=True, help="directory with customer/orders/lineitem parquet")
-    parser.add_argument("--root", help="layer store root (default: under spark.checkpoint.dir)")
+    parser.add_argument("--root", required=True, help="layer store root on storage that all executors share")
     parser.add_argument("--run-date", help="partition date YYYY-MM-DD (default: today)")
     parser.add_argument("--as-of", help="freshness reference time (default: now)")
     parser.add_argument("--force", action="store_true", help="reload Bronze even if the date exists")
@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     spark = build_session(master=args.master or "local[*]")
-    root = args.root or scratch_root(spark, "cli")
+    root = args.root
     try:
         result = run_medallion(spark, bronze_sources(spark, args.sf_dir), root, args.run_date,
                                as_of=args.as_of, force=args.force, gate=args.gate,

@@ -55,5 +55,5 @@ FRESHNESS_DAYS = 365
 
 # Characters removed by "strip" on both ends of a text value: every code point
 # that Python's str.isspace() accepts, derived from the Unicode database
-# instead of being listed by hand.
-WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+# instead of being listed by hand (the last one is U+3000).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())

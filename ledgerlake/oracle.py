@@ -418,11 +418,42 @@ UNION ALL SELECT 'silver', 'transactions', (SELECT COUNT(*) FROM s_tx)
 UNION ALL SELECT 'silver', 'transaction_details', (SELECT COUNT(*) FROM s_details)
 """
 
+_MONTH = "CAST(date_trunc('month', CAST(created_at AS TIMESTAMP)) AS DATE)"
+
 INCREMENTAL = f"""
-SELECT CAST(date_trunc('month', CAST(created_at AS TIMESTAMP)) AS DATE) AS date, COUNT(*) AS row_count
+SELECT *, {_MONTH} AS date, {_MONTH} >= DATE '{R.HISTORY_END}' AS is_new, COUNT(*) OVER (PARTITION BY {_MONTH}) AS loaded_rows
 FROM b_tx
-WHERE CAST(date_trunc('month', CAST(created_at AS TIMESTAMP)) AS DATE) >= DATE '{R.HISTORY_END}'
-GROUP BY 1
+"""
+
+RERUN_EMPTY = f"""
+SELECT layer, entity, CASE WHEN entity = 'transaction_details' THEN 0 ELSE row_count END AS row_count
+FROM ({LAYER_COUNTS})
+"""
+
+ALL_REJECTED = """
+, keys AS (SELECT (SELECT COUNT(*) FROM b_users) AS u, (SELECT COUNT(DISTINCT coalesce(CAST(user_id AS VARCHAR), 'null')) FROM b_users) AS ku,
+  (SELECT COUNT(*) FROM b_tx) AS t, (SELECT COUNT(*) FROM d_tx) AS kt, (SELECT COUNT(*) FROM p_tx) AS pt, (SELECT COUNT(*) FROM c_tx) AS ct,
+  (SELECT COUNT(*) FROM b_details) AS d, (SELECT COUNT(*) FROM d_details) AS kd)
+SELECT 'users' AS entity, 'duplicate_key' AS rule, u - ku AS rejected FROM keys
+UNION ALL SELECT 'users', 'missing_required_field', ku FROM keys
+UNION ALL SELECT 'transactions', 'duplicate_key', t - kt FROM keys
+UNION ALL SELECT 'transactions', 'amount_not_positive', kt - pt FROM keys
+UNION ALL SELECT 'transactions', 'invalid_status', pt - ct FROM keys
+UNION ALL SELECT 'transactions', 'unknown_user', ct FROM keys
+UNION ALL SELECT 'transaction_details', 'duplicate_key', d - kd FROM keys
+UNION ALL SELECT 'transaction_details', 'unknown_transaction', kd FROM keys
+UNION ALL SELECT 'transaction_details', 'invalid_payment_method', 0 FROM keys
+UNION ALL SELECT 'transaction_details', 'invalid_channel', 0 FROM keys
+UNION ALL SELECT 'transaction_details', 'processing_time_not_positive', 0 FROM keys
+"""
+
+_BRONZE_COUNTS = " UNION ALL ".join(
+    f"SELECT '{e}' AS entity, (SELECT COUNT(*) FROM {t}) AS full_count, (SELECT COUNT(*) FROM {t} WHERE _seq % 2 = 0) AS part_count"
+    for e, t in (("users", "b_users"), ("transactions", "b_tx"), ("transaction_details", "b_details")))
+
+SKIP_FORCE = f"""
+SELECT step, entity, CASE WHEN step = 'forced' THEN part_count ELSE full_count END AS row_count
+FROM ({_BRONZE_COUNTS}) CROSS JOIN (VALUES ('first'), ('skipped'), ('forced')) AS s(step)
 """
 
 FILL_UNKNOWN = f"""
@@ -443,6 +474,9 @@ SQL: dict[str, str] = {
     "ingest_bronze": _q("SELECT * FROM b_tx"),
     "layer_roundtrip": _q("SELECT * FROM s_users"),
     "incremental_new_dates": _q(INCREMENTAL),
+    "rerun_with_empty_entity": _q(RERUN_EMPTY),
+    "all_rejected_day": _q(ALL_REJECTED),
+    "skip_and_force": _q(SKIP_FORCE),
     "layer_counts": _q(LAYER_COUNTS),
     "dedup_users": _q("SELECT * FROM d_users"),
     "dedup_transactions": _q("SELECT * FROM d_tx"),

@@ -5,47 +5,36 @@ medallion layout: the next layer's plan starts from Parquet (fresh
 statistics for AQE, no lineage to recompute after a lost executor), and a
 layer can be re-run on its own for a given ``run_date``.
 
-Row counts come from ``Observation`` metrics collected during the writes,
-so no extra ``count()`` job is run.
+Row counts come from a metric observed at the top of each write, so no extra
+``count()`` job is run.
 """
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.constants import ENTITIES
-from ledgerlake.plans.gold import build_gold, gold_from_facts, transaction_facts
+from ledgerlake.plans.gold import gold_from_facts, transaction_facts
 from ledgerlake.plans.quality import assert_quality, quality_report, quality_summary, write_report_csv
 from ledgerlake.plans.silver import (
     clean_transaction_details,
     clean_transactions,
     clean_users,
-    rejects_from,
+    silver_rejects,
 )
 from ledgerlake.sources.layers import (
     layer_path,
     partition_exists,
-    partition_path,
     read_layer,
-    stored_bytes,
-    write_layer,
+    write_layer_counted,
 )
 from ledgerlake.schemas import SEQ
 
 
-def _write_counted(df: DataFrame, root: str, layer: str, entity: str, run_date: str, sort_by=None,
-                   bounded: bool = False) -> tuple[str, int]:
-    obs = Observation(f"{layer}_{entity}")
-    path = write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, layer, entity, run_date, sort_by,
-                       bounded)
-    return path, int(obs.get["rows"])
-
-
 def with_arrival_order(df: DataFrame) -> DataFrame:
     """Add ``_seq`` (arrival order) when the source has none.
 
@@ -76,7 +65,7 @@ def ingest_bronze(
         return {"paths": paths, "counts": {"skipped": True}, "incremental": True}
     counts = {}
     for entity, df in sources.items():
-        _, counts[entity] = _write_counted(with_arrival_order(df), root, "bronze", entity, run_date)
+        _, counts[entity] = write_layer_counted(with_arrival_order(df), root, "bronze", entity, run_date)
     return {"paths": paths, "counts": counts, "incremental": False}
 
 
@@ -95,19 +84,21 @@ def run_silver(
     """Clean Bronze into Silver; users first, each parent read back from Silver."""
     bronze = load_layer(spark, root, "bronze", run_date)
     counts, paths = {}, {}
-    observed: dict[str, dict] = {e: {} for e in ENTITIES}
-    paths["users"], counts["users"] = _write_counted(
-        clean_users(bronze["users"], processed_at, observed["users"]), root, "silver", "users", run_date)
+    paths["users"], counts["users"] = write_layer_counted(
+        clean_users(bronze["users"], processed_at), root, "silver", "users", run_date)
     users = read_layer(spark, root, "silver", "users", run_date, schemas.SILVER["users"])
-    paths["transactions"], counts["transactions"] = _write_counted(
-        clean_transactions(bronze["transactions"], users, processed_at, observed["transactions"]),
+    paths["transactions"], counts["transactions"] = write_layer_counted(
+        clean_transactions(bronze["transactions"], users, processed_at),
         root, "silver", "transactions", run_date)
     tx = read_layer(spark, root, "silver", "transactions", run_date, schemas.SILVER["transactions"])
-    paths["transaction_details"], counts["transaction_details"] = _write_counted(
-        clean_transaction_details(bronze["transaction_details"], tx, processed_at, null_policy,
-                                  observed["transaction_details"]),
+    paths["transaction_details"], counts["transaction_details"] = write_layer_counted(
+        clean_transaction_details(bronze["transaction_details"], tx, processed_at, null_policy),
         root, "silver", "transaction_details", run_date)
-    rejects = {e: rejects_from(obs) for e, obs in observed.items()}
+    # Rows removed per rule: a stored table (a few rows), exact whatever tasks were repeated.
+    write_layer_counted(silver_rejects(bronze, users, tx, null_policy), root, "silver", "rejects", run_date, bounded=True)
+    rejects: dict[str, dict] = {e: {} for e in ENTITIES}
+    for r in read_layer(spark, root, "silver", "rejects", run_date).collect():
+        rejects[r["entity"]][r["rule"]] = int(r["rejected"])
     return {"paths": paths, "counts": counts, "rejects": rejects}
 
 
@@ -126,44 +117,25 @@ def gold_order(name: str) -> list | None:
 BOUNDED_GOLD = ("gold_channel_metrics", "gold_payment_method_metrics", "gold_summary")
 
 
-# Above this stored size of Silver details, the three detail-based Gold
-# tables share one persisted join instead of each scanning and joining the
-# details again.
-SHARE_DETAILS_MIN_BYTES = 256 * 1024 * 1024
-
-
-def run_gold(spark: SparkSession, root: str, run_date: str, share_details: bool | None = None) -> dict:
+def run_gold(spark: SparkSession, root: str, run_date: str) -> dict:
     """Build the four Gold tables from Silver and write them (sorted as specified).
 
-    ``share_details`` (default: decided by the stored size of the Silver
-    details) derives channel, payment-method and summary metrics from one
-    persisted ``transaction_facts`` join: one scan and one shuffle of the
-    details instead of three. Small inputs are cheaper to re-read than to cache.
+    The details are read, reduced and joined with the transactions once: the
+    result is stored as ``gold/transaction_facts`` and the channel,
+    payment-method and summary tables come from it, at every input size.
     """
     silver = load_layer(spark, root, "silver", run_date)
     users, tx, details = silver["users"], silver["transactions"], silver["transaction_details"]
-    if share_details is None:
-        size = stored_bytes(spark, partition_path(root, "silver", "transaction_details", run_date))
-        share_details = size is not None and size >= SHARE_DETAILS_MIN_BYTES
-    facts = None
-    if share_details:
-        # Persisted for the duration of the Gold writes (a lost block is
-        # recomputed from the stored Silver tables).
-        facts = transaction_facts(tx, details).persist(StorageLevel.MEMORY_AND_DISK)
-        tables = gold_from_facts(users, tx, facts)
-    else:
-        tables = build_gold(silver)
+    stored = transaction_facts(tx, details)
+    write_layer_counted(stored, root, "gold", "transaction_facts", run_date)
+    facts = read_layer(spark, root, "gold", "transaction_facts", run_date, stored.schema)
     paths, counts = {}, {}
-    try:
-        for name, df in tables.items():
-            # The writer's own ordering (partition column first) replaces the
-            # plan's ORDER BY, so the order is passed to it explicitly.
-            paths[name], counts[name] = _write_counted(df, root, "gold", name, run_date, gold_order(name),
-                                                       bounded=name in BOUNDED_GOLD)
-    finally:
-        if facts is not None:
-            facts.unpersist()
-    return {"paths": paths, "counts": counts, "shared_details": share_details}
+    for name, df in gold_from_facts(users, tx, facts).items():
+        # The writer's own ordering (partition column first) replaces the
+        # plan's ORDER BY, so the order is passed to it explicitly.
+        paths[name], counts[name] = write_layer_counted(df, root, "gold", name, run_date, gold_order(name),
+                                                        bounded=name in BOUNDED_GOLD)
+    return {"paths": paths, "counts": counts}
 
 
 def read_gold(spark: SparkSession, root: str, name: str, run_date: str) -> DataFrame:
@@ -184,7 +156,8 @@ def run_quality(
     report = quality_report(
         silver["users"], silver["transactions"], silver["transaction_details"],
         bronze["transactions"], bronze["transaction_details"], as_of=as_of, checked_at=checked_at)
-    stamp = (checked_at or run_date).replace(":", "").replace("-", "").replace(" ", "_")
+    # One report per run: without a given report time, the run's own time names it.
+    stamp = (checked_at or datetime.now().isoformat(timespec="microseconds")).replace(":", "").replace("-", "").replace(" ", "_").replace(".", "_")
     path = write_report_csv(report, f"{root.rstrip('/')}/quality/report_{stamp}")
     stored = spark.read.schema(schemas.QUALITY_REPORT).option("header", True).csv(path)
     if gate:

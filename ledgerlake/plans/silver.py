@@ -19,10 +19,9 @@ the semi-join.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.constants import CHANNELS, PAYMENT_METHODS, UNKNOWN, VALID_STATUSES
@@ -70,9 +69,7 @@ def _drop_seq(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- steps
 #
 # Each cleaner is an ordered list of (rule, transform) steps; the rule names
-# the rows the step removes. The same list drives the plain plan and the
-# observed plan of the pipeline, where a count after every step (collected
-# during the write, no extra job) gives the rows each rule rejected.
+# the rows the step removes. ``silver_rejects`` counts what each rule rejects.
 
 Step = tuple[str, Callable[[DataFrame], DataFrame]]
 
@@ -105,46 +102,22 @@ def detail_steps(tx_silver: DataFrame, null_policy: str = "drop") -> list[Step]:
     ]
 
 
-INPUT = "_input"
-
-
-def apply_steps(df: DataFrame, steps: list[Step], observed: dict[str, Observation] | None = None) -> DataFrame:
-    """Run the steps in order; with ``observed``, count the rows before and after each."""
-    def mark(frame: DataFrame, name: str) -> DataFrame:
-        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-        observed[name] = obs
-        return frame.observe(obs, F.count(F.lit(1)).alias("rows"))
-
-    if observed is not None:
-        df = mark(df, INPUT)
-    for rule, transform in steps:
+def apply_steps(df: DataFrame, steps: list[Step]) -> DataFrame:
+    """Run the steps in order."""
+    for _, transform in steps:
         df = transform(df)
-        if observed is not None:
-            df = mark(df, rule)
     return df
 
 
-def rejects_from(observed: dict[str, Observation]) -> dict[str, int]:
-    """Rows removed by each step, from the counts of an observed run (after its action)."""
-    out, before = {}, None
-    for name, obs in observed.items():
-        rows = int(obs.get["rows"])
-        if before is not None:
-            out[name] = before - rows
-        before = rows
-    return out
-
-
 # --------------------------------------------------------------------------- users
 
-def users_valid(users_bronze: DataFrame, observed: dict | None = None) -> DataFrame:
+def users_valid(users_bronze: DataFrame) -> DataFrame:
     """Deduplicated users with every required field present."""
-    return apply_steps(users_bronze, user_steps(), observed)
+    return apply_steps(users_bronze, user_steps())
 
 
-def clean_users(users_bronze: DataFrame, processed_at: str | None = None,
-                observed: dict | None = None) -> DataFrame:
-    df = users_valid(users_bronze, observed).withColumn("email", normalize("email"))
+def clean_users(users_bronze: DataFrame, processed_at: str | None = None) -> DataFrame:
+    df = users_valid(users_bronze).withColumn("email", normalize("email"))
     return stamp(_drop_seq(df), processed_at)
 
 
@@ -157,9 +130,8 @@ def transactions_candidates(tx_bronze: DataFrame) -> DataFrame:
 
 def clean_transactions(
     tx_bronze: DataFrame, users_silver: DataFrame, processed_at: str | None = None,
-    observed: dict | None = None,
 ) -> DataFrame:
-    df = apply_steps(tx_bronze, transaction_steps(users_silver), observed)
+    df = apply_steps(tx_bronze, transaction_steps(users_silver))
     df = df.withColumn("created_at", parse_timestamp("created_at"))
     return stamp(_drop_seq(df), processed_at)
 
@@ -173,9 +145,8 @@ def details_with_transaction(details_bronze: DataFrame, tx_silver: DataFrame) ->
 
 def details_valid(
     details_bronze: DataFrame, tx_silver: DataFrame, null_policy: str = "drop",
-    observed: dict | None = None,
 ) -> DataFrame:
-    return apply_steps(details_bronze, detail_steps(tx_silver, null_policy), observed)
+    return apply_steps(details_bronze, detail_steps(tx_silver, null_policy))
 
 
 def clean_transaction_details(
@@ -183,13 +154,12 @@ def clean_transaction_details(
     tx_silver: DataFrame,
     processed_at: str | None = None,
     null_policy: str = "drop",
-    observed: dict | None = None,
 ) -> DataFrame:
     """``null_policy="drop"`` (default) drops missing payment_method/channel with
     the invalid values; ``"unknown"`` keeps them as "unknown"."""
     if null_policy not in ("drop", "unknown"):
         raise ValueError(f"null_policy must be 'drop' or 'unknown', not {null_policy!r}")
-    df = details_valid(details_bronze, tx_silver, null_policy, observed)
+    df = details_valid(details_bronze, tx_silver, null_policy)
     return stamp(_drop_seq(df), processed_at)
 
 

@@ -77,11 +77,56 @@ def q_incremental_new_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "month", F.trunc(F.to_date(parse_timestamp("created_at")), "month"))
     history = tx.where(F.col("month") < F.lit(HISTORY_END).cast("date"))
     ingest_new_dates(spark, history, root, "bronze", "transactions_by_month", "month")
-    fresh = ingest_new_dates(spark, tx, root, "bronze", "transactions_by_month", "month")
+    done = ingest_new_dates(spark, tx, root, "bronze", "transactions_by_month", "month")
     stored = spark.read.schema(schemas.with_date(schemas.BRONZE["transactions"])).parquet(
         f"{root}/bronze/transactions_by_month")
-    return (stored.join(fresh, schemas.DATE, "left_semi")
-                  .groupBy(schemas.DATE).agg(F.count(F.lit(1)).alias("row_count")))
+    # All stored rows, with what the second load says it wrote or skipped of their month.
+    said = spark.createDataFrame(
+        [(d, True, n) for d, n in done.written.items()] + [(d, False, n) for d, n in done.skipped_stored.items()],
+        "day string, is_new boolean, loaded_rows long")
+    return stored.join(said, F.col(schemas.DATE) == F.col("day").cast("date"), "left").drop("day")
+
+
+def q_rerun_with_empty_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forced re-run whose details source is empty replaces the stored day; row counts of the layers."""
+    root = scratch_root(spark, "rerun")
+    bronze = dict(_bronze(spark, sf_dir))
+    args = {"as_of": AS_OF, "processed_at": PROCESSED_AT, "checked_at": CHECKED_AT}
+    run_medallion(spark, bronze, root, RUN_DATE, **args)
+    bronze["transaction_details"] = bronze["transaction_details"].limit(0)
+    run_medallion(spark, bronze, root, RUN_DATE, force=True, **args)
+    out = None
+    for layer, tables in (("bronze", schemas.BRONZE), ("silver", schemas.SILVER)):
+        for entity, schema in tables.items():
+            part = read_layer(spark, root, layer, entity, RUN_DATE, schema).agg(
+                F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(layer).alias("layer"), F.lit(entity).alias("entity"), "row_count")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_all_rejected_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day whose users all lack a required field: the run ends, and the stored rejects say why."""
+    root = scratch_root(spark, "rejected")
+    bronze = dict(_bronze(spark, sf_dir))
+    bronze["users"] = bronze["users"].withColumn("email", F.lit(None).cast("string"))
+    run_medallion(spark, bronze, root, RUN_DATE, as_of=AS_OF, processed_at=PROCESSED_AT, checked_at=CHECKED_AT)
+    return read_layer(spark, root, "silver", "rejects", RUN_DATE)
+
+
+def q_skip_and_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load of a landed day is skipped; with ``force`` it replaces the day. Bronze rows after each."""
+    root = scratch_root(spark, "force")
+    bronze = _bronze(spark, sf_dir)
+    fewer = {e: df.where(F.col(schemas.SEQ) % 2 == 0) for e, df in bronze.items()}
+    out = None
+    for step, source, force in (("first", bronze, False), ("skipped", fewer, False), ("forced", fewer, True)):
+        ingest_bronze(spark, source, root, RUN_DATE, force)
+        for entity, schema in schemas.BRONZE.items():
+            n = read_layer(spark, root, "bronze", entity, RUN_DATE, schema).count()
+            row = spark.createDataFrame([(step, entity, n)], "step string, entity string, row_count long")
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 def q_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +344,9 @@ QUERIES: dict[str, Query] = {
     "ingest_bronze": q_ingest_bronze,
     "layer_roundtrip": q_layer_roundtrip,
     "incremental_new_dates": q_incremental_new_dates,
+    "rerun_with_empty_entity": q_rerun_with_empty_entity,
+    "all_rejected_day": q_all_rejected_day,
+    "skip_and_force": q_skip_and_force,
     "layer_counts": q_layer_counts,
     "dedup_users": q_dedup("users"),
     "dedup_transactions": q_dedup("transactions"),

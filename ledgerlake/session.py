@@ -55,8 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system location and is
-    used as is. Only when it is unset (local runs and tests) is a local
-    folder created and registered.
+    used as is. Only when it is unset and the master is ``local`` (tests) is a
+    local folder created and registered; elsewhere an unset one is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -72,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

@@ -1,14 +1,16 @@
 """The layer store: ``<root>/<layer>/<entity>/date=YYYY-MM-DD/part-*.parquet``.
 
 Writes use dynamic partition overwrite, so re-running a date replaces that
-date only and leaves every other date untouched (an idempotent re-run).
+date only and leaves every other date untouched (an idempotent re-run). A
+result without rows replaces the date by an empty file, so a day without rows
+counts as written.
 Reads filter on the partition column, which Spark turns into partition
 pruning: only the directory of the requested date is listed and scanned.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +25,7 @@ def _date_lit(run_date: str) -> Column:
     return F.lit(run_date).cast("date")
 
 
-def write_layer(
+def write_layer_counted(
     df: DataFrame,
     root: str,
     layer: str,
@@ -31,8 +33,8 @@ def write_layer(
     run_date: str,
     sort_by: list[Column] | None = None,
     bounded: bool = False,
-) -> str:
-    """Write ``df`` as the ``run_date`` partition of ``layer/entity``; return the dataset path.
+) -> tuple[str, int]:
+    """Write ``df`` as the ``run_date`` partition of ``layer/entity``; return the dataset path and the rows.
 
     ``sort_by`` keeps an output order inside the files (the partition column
     leads, so the writer does not add a sort of its own). ``bounded`` marks
@@ -41,7 +43,8 @@ def write_layer(
     sampling job and range shuffle of a global sort.
     """
     path = layer_path(root, layer, entity)
-    out = df.withColumn(DATE, _date_lit(run_date))
+    written = Observation(f"{layer}_{entity}")
+    out = df.observe(written, F.count(F.lit(1)).alias("rows")).withColumn(DATE, _date_lit(run_date))
     if bounded:
         out = out.coalesce(1).sortWithinPartitions(F.col(DATE), *(sort_by or []))
     elif sort_by:
@@ -50,7 +53,19 @@ def write_layer(
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE)
         .parquet(path))
-    return path
+    rows = int(written.get["rows"])
+    if rows == 0:
+        # Dynamic overwrite touches no partition for an empty frame: write a file without rows over the old one.
+        spark = df.sparkSession
+        spark.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(
+            partition_path(root, layer, entity, run_date))
+    return path, rows
+
+
+def write_layer(df: DataFrame, root: str, layer: str, entity: str, run_date: str,
+                sort_by: list[Column] | None = None, bounded: bool = False) -> str:
+    """``write_layer_counted`` for callers that need only the dataset path."""
+    return write_layer_counted(df, root, layer, entity, run_date, sort_by, bounded)[0]
 
 
 def read_layer(
@@ -76,31 +91,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     run and no failed query is raised for a missing path.
     """
     fs, hpath = _hadoop_fs(spark, path)
-    if fs is None:
-        try:
-            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
-            return True
-        except Exception:
-            return False
     return bool(fs.exists(hpath))
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
-    """(FileSystem, Path) of ``path`` through the session's Hadoop configuration, or (None, None)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-    except Exception:  # Spark Connect: no JVM gateway on the client
-        return None, None
-
+    """(FileSystem, Path) of ``path`` through the session's Hadoop configuration.
 
-def stored_bytes(spark: SparkSession, path: str) -> int | None:
-    """Bytes stored under ``path`` (file system metadata only); None when unknown."""
-    fs, hpath = _hadoop_fs(spark, path)
-    if fs is None or not fs.exists(hpath):
-        return None
-    return int(fs.getContentSummary(hpath).getLength())
+    A path that cannot be reached (permission, network) raises; it is never
+    taken for one that is not there.
+    """
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def partition_path(root: str, layer: str, entity: str, run_date: str) -> str:
@@ -110,8 +111,7 @@ def partition_path(root: str, layer: str, entity: str, run_date: str) -> str:
 def partition_exists(spark: SparkSession, root: str, layer: str, entity: str, run_date: str) -> bool:
     """Has ``run_date`` been written for ``layer/entity``?
 
-    An empty DataFrame writes no partition directory, so an existing
-    directory means rows were landed for that date.
+    A day without rows has a directory with an empty file, so it counts.
     """
     return path_exists(spark, partition_path(root, layer, entity, run_date))
 
@@ -127,8 +127,6 @@ def stored_dates(spark: SparkSession, root: str, layer: str, entity: str) -> Dat
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     fs, hpath = _hadoop_fs(spark, path)
-    if fs is None:
-        return spark.read.parquet(path).select(DATE).distinct()
     prefix = f"{DATE}="
     values = [st.getPath().getName()[len(prefix):] for st in fs.listStatus(hpath)
               if st.isDirectory() and st.getPath().getName().startswith(prefix)]

@@ -55,27 +55,7 @@ DRIVER_COLUMNS = {
 }
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Rebalance a scan that yields fewer splits than the cluster has cores.
-
-    A source stored as a few unsplittable files (one Parquet row group, a
-    gzip CSV) is read by a few tasks, and every narrow operator after it
-    stays at that parallelism. Then, and only then, a round-robin
-    repartition spreads the rows over all cores. A large input already has
-    enough splits and is returned unchanged, with no shuffle added.
-    """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no driver-side context (Spark Connect): keep the scan as is
-        return df
-    if splits >= target:
-        return df
-    return df.repartition(target)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` as a DataFrame (lazy; columns pruned by use).
 
     Tables listed in ``DRIVER_COLUMNS`` are read with that fixed schema.
@@ -83,5 +63,4 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True
     reader = spark.read
     if name in DRIVER_COLUMNS:
         reader = reader.schema(DRIVER_COLUMNS[name])
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if balance else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -1,10 +1,10 @@
-"""Incremental ingestion: skip work already done, by date or by file."""
+"""Incremental ingestion: skip dates already stored."""
 
 from ledgerlake.streaming.incremental import (
+    IngestResult,
     already_processed,
     ingest_new_dates,
     new_dates,
-    stream_into_bronze,
 )
 
-__all__ = ["already_processed", "ingest_new_dates", "new_dates", "stream_into_bronze"]
+__all__ = ["IngestResult", "already_processed", "ingest_new_dates", "new_dates"]

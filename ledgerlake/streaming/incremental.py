@@ -3,22 +3,18 @@
 * ``already_processed``: has a date been landed for every entity (the daily
   skip test).
 * ``new_dates`` / ``ingest_new_dates``: for a source spanning many dates,
-  the dates not yet stored are found with a LEFT ANTI join against the
-  stored partition values, and only those rows are written (dynamic
-  partition overwrite touches nothing else).
-* ``stream_into_bronze``: file-level incremental landing with Structured
-  Streaming; the checkpoint remembers which files were processed, and an
-  ``availableNow`` trigger processes everything new, then stops, so a
-  scheduled batch job picks up exactly the files added since its last run.
+  only the dates not yet stored are written (dynamic partition overwrite
+  touches nothing else); what is left out is counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake.schemas import DATE
 from ledgerlake.sources.layers import layer_path, partition_exists, stored_dates
@@ -36,6 +32,15 @@ def new_dates(incoming: DataFrame, stored: DataFrame, date_col: str = DATE) -> D
     return dates.join(stored.select(DATE), DATE, "left_anti")
 
 
+@dataclass(frozen=True)
+class IngestResult:
+    """What an incremental load did: rows per written date, and the rows it left out."""
+
+    written: dict[str, int]
+    skipped_stored: dict[str, int]
+    skipped_null_date: int
+
+
 def ingest_new_dates(
     spark: SparkSession,
     incoming: DataFrame,
@@ -43,52 +48,32 @@ def ingest_new_dates(
     layer: str,
     entity: str,
     date_col: str = DATE,
-) -> DataFrame:
-    """Write the rows of ``incoming`` whose date is not stored yet; return those dates.
-
-    ``incoming`` carries its own date column (``date_col``), which becomes
-    the partition column. The returned DataFrame is read from the written
-    layer, so it reflects what was actually stored.
-    """
-    stored = stored_dates(spark, root, layer, entity)
-    fresh = new_dates(incoming, stored, date_col)
-    rows = (incoming.withColumn(DATE, F.col(date_col).cast("date"))
-                    .join(fresh, DATE, "left_semi"))
-    if date_col != DATE:
-        rows = rows.drop(date_col)
-    # Rebalance (not repartition) by date: rows of a date are grouped into
-    # few files, and AQE splits a date holding a large share of the rows
-    # over several tasks instead of sending it to one.
-    (rows.hint("rebalance", DATE)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(DATE).parquet(layer_path(root, layer, entity)))
-    return fresh
-
-
-def stream_into_bronze(
-    spark: SparkSession,
-    source_dir: str,
-    schema: T.StructType,
-    root: str,
-    entity: str,
-    checkpoint: str,
-    run_date: str,
-    fmt: str = "parquet",
-    layer: str = "bronze_stream",
-) -> dict:
-    """Land files added to ``source_dir`` since the last call, then stop.
+    force: bool | Iterable[str] = False,
+) -> IngestResult:
+    """Write the rows of ``incoming`` whose date is not stored yet.
 
-    The output is a streaming file sink (with its own commit log), kept
-    under its own layer name so batch-written and stream-written data never
-    share a directory. Returns the number of input rows processed.
+    ``force``: True writes every date again, an iterable of dates writes those
+    again. A first pass over the date column alone counts rows per date (one
+    number per date reaches the driver); the second reads only the dates to
+    write, as a literal filter that reaches the scan. Rows of dates already
+    stored and rows without a date are not written but counted in the result.
     """
-    stream = (spark.readStream.schema(schema).format(fmt).load(source_dir)
-                   .withColumn(DATE, F.lit(run_date).cast("date")))
-    query = (stream.writeStream.format("parquet")
-                   .option("checkpointLocation", checkpoint)
-                   .partitionBy(DATE)
-                   .trigger(availableNow=True)
-                   .start(layer_path(root, layer, entity)))
-    query.awaitTermination()
-    rows = sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
-    return {"path": layer_path(root, layer, entity), "rows": rows}
+    day = F.col(date_col).cast("date")
+    per_date = {None if r[0] is None else r[0].isoformat(): r[1]
+                for r in incoming.groupBy(day.alias(DATE)).agg(F.count(F.lit(1))).collect()}
+    null_rows = per_date.pop(None, 0)
+    stored = {r[0].isoformat() for r in stored_dates(spark, root, layer, entity).collect()}
+    again = set(per_date) if force is True else set(force or ())
+    dates = sorted(d for d in per_date if d not in stored or d in again)
+    if dates:
+        rows = incoming.where(day.isin([date.fromisoformat(d) for d in dates])).withColumn(DATE, day)
+        if date_col != DATE:
+            rows = rows.drop(date_col)
+        # Rebalance (not repartition) by date: rows of a date are grouped into
+        # few files, and AQE splits a date holding a large share of the rows
+        # over several tasks instead of sending it to one.
+        (rows.hint("rebalance", DATE)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(DATE).parquet(layer_path(root, layer, entity)))
+    return IngestResult({d: per_date[d] for d in dates},
+                        {d: n for d, n in sorted(per_date.items()) if d not in dates}, null_rows)

@@ -9,7 +9,7 @@ from ledgerlake.plans.quality import QualityGateError
 from ledgerlake.session import scratch_root
 from ledgerlake.sources.fixtures import bronze_sources
 from ledgerlake.sources.layers import partition_exists, read_layer, stored_dates, write_layer
-from ledgerlake.streaming import already_processed, ingest_new_dates, new_dates, stream_into_bronze
+from ledgerlake.streaming import already_processed, ingest_new_dates, new_dates
 from tests.conftest import SF_SMOKE, rows
 
 
@@ -67,32 +67,43 @@ def test_arrival_order_is_added_once(spark):
 def test_incremental_new_dates(spark):
     root = scratch_root(spark, "test-incremental")
     data = spark.createDataFrame(
-        [("a", "2024-01-01"), ("b", "2024-01-01"), ("c", "2024-01-02"), ("d", "2024-01-03")],
+        [("a", "2024-01-01"), ("b", "2024-01-01"), ("c", "2024-01-02"), ("d", "2024-01-03"), ("e", None)],
         "id string, day string").withColumn("day", F.to_date("day"))
     first = ingest_new_dates(spark, data.where("day < '2024-01-02'"), root, "bronze", "events", "day")
-    assert [str(r.date) for r in first.collect()] == ["2024-01-01"]
+    assert first.written == {"2024-01-01": 2} and first.skipped_null_date == 0
     second = ingest_new_dates(spark, data, root, "bronze", "events", "day")
-    assert sorted(str(r.date) for r in second.collect()) == ["2024-01-02", "2024-01-03"]
+    assert second.written == {"2024-01-02": 1, "2024-01-03": 1}
+    assert second.skipped_stored == {"2024-01-01": 2} and second.skipped_null_date == 1
     stored = spark.read.parquet(f"{root}/bronze/events")
     assert stored.count() == 4    # the stored day was not written twice
     assert new_dates(data.withColumnRenamed("day", "date"), stored.select("date")).count() == 0
-
-
-def test_stream_ingest_processes_only_new_files(spark, tmp_path):
-    src = str(tmp_path / "incoming")
-    schema = "user_id string, name string"
-    root = scratch_root(spark, "test-stream")
-    ckpt = f"{root}/_checkpoints/users"
-    flat = f"{src}/all"
-    _users(spark, 3, "a").write.parquet(flat)
-    first = stream_into_bronze(spark, flat, _users(spark, 1, "x").schema, root, "users", ckpt, "2024-01-01")
-    assert first["rows"] == 3
-    _users(spark, 2, "b").write.mode("append").parquet(flat)
-    second = stream_into_bronze(spark, flat, _users(spark, 1, "x").schema, root, "users", ckpt, "2024-01-01")
-    assert second["rows"] == 2
-    third = stream_into_bronze(spark, flat, _users(spark, 1, "x").schema, root, "users", ckpt, "2024-01-01")
-    assert third["rows"] == 0
-    assert spark.read.parquet(first["path"]).count() == 5
+    late = data.unionByName(spark.createDataFrame([("f", "2024-01-01")], "id string, day string")
+                            .withColumn("day", F.to_date("day")))
+    assert ingest_new_dates(spark, late, root, "bronze", "events", "day", force=["2024-01-01"]).written == {"2024-01-01": 3}
+    assert spark.read.parquet(f"{root}/bronze/events").count() == 5
+
+
+def test_an_empty_result_replaces_the_partition(spark):
+    root = scratch_root(spark, "test-empty")
+    full = _users(spark, 3, "x")
+    write_layer(full, root, "silver", "users", "2024-01-01")
+    write_layer(full, root, "silver", "users", "2024-01-02")
+    write_layer(full.limit(0), root, "silver", "users", "2024-01-01")
+    assert read_layer(spark, root, "silver", "users", "2024-01-01", full.schema).count() == 0
+    assert read_layer(spark, root, "silver", "users", "2024-01-02", full.schema).count() == 3
+    assert already_processed(spark, root, "2024-01-01", ["users"], "silver")
+
+
+def test_a_day_where_everything_is_rejected_still_reports(spark):
+    root = scratch_root(spark, "test-rejected")
+    sources = dict(bronze_sources(spark, SF_SMOKE))
+    sources["users"] = sources["users"].withColumn("email", F.lit(None).cast("string"))
+    result = run_medallion(spark, sources, root, "2024-01-31", as_of="2001-12-31T00:00:00")
+    assert set(result["silver"]["counts"].values()) == {0}
+    report = spark.read.option("header", True).csv(result["quality"]["path"])
+    assert {r.status for r in report.where(F.col("check") == "record_count").collect()} == {"FAIL"}
+    again = run_medallion(spark, sources, root, "2024-01-31", as_of="2001-12-31T00:00:00")
+    assert again["quality"]["path"] != result["quality"]["path"]    # one report per run
 
 
 def test_end_to_end_run_is_idempotent(spark):
@@ -101,7 +112,7 @@ def test_end_to_end_run_is_idempotent(spark):
     kw = dict(as_of="2001-12-31T00:00:00", processed_at="2024-01-31T06:00:00", checked_at="2024-01-31T06:00:00")
     result = run_medallion(spark, sources, root, "2024-01-31", gate=True, **kw)
     assert result["silver"]["counts"] == {"users": 142, "transactions": 1283, "transaction_details": 3334}
-    # per-rule rejects observed during the writes equal the one-pass reject table
+    # per-rule rejects stored by the run equal the one-pass reject table
     s = silver.build_silver(sources, "x")
     table = {(r.entity, r.rule): r.rejected
              for r in silver.silver_rejects(sources, s["users"], s["transactions"]).collect()}
@@ -123,19 +134,14 @@ def test_end_to_end_run_is_idempotent(spark):
         run_medallion(spark, sources, root, "2024-01-31", gate=True, as_of="2003-01-01T00:00:00")
 
 
-def test_gold_shared_and_separate_paths_write_the_same_tables(spark):
-    from ledgerlake.plans.medallion import ingest_bronze as ingest, run_gold, run_silver
+def test_gold_from_stored_facts_equals_separate_plans(spark):
+    from ledgerlake.plans.gold import build_gold
+    from ledgerlake.plans.medallion import ingest_bronze as ingest, load_layer, run_gold, run_silver
 
-    root = scratch_root(spark, "test-gold-share")
+    root = scratch_root(spark, "test-gold-facts")
     ingest(spark, bronze_sources(spark, SF_SMOKE), root, "2024-01-31")
     run_silver(spark, root, "2024-01-31", "x")
-    auto = run_gold(spark, root, "2024-01-31")
-    assert auto["shared_details"] is False          # small input: separate plans
-    names = ["gold_user_metrics", "gold_channel_metrics", "gold_payment_method_metrics", "gold_summary"]
-    def snapshot():
-        return {n: sorted(tuple(r) for r in read_gold(spark, root, n, "2024-01-31").drop("generated_at").collect())
-                for n in names}
-    separate = snapshot()
-    shared = run_gold(spark, root, "2024-01-31", share_details=True)
-    assert shared["shared_details"] is True
-    assert snapshot() == separate
+    run_gold(spark, root, "2024-01-31")
+    for name, df in build_gold(load_layer(spark, root, "silver", "2024-01-31")).items():
+        stored = read_gold(spark, root, name, "2024-01-31").drop("generated_at")
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.select(stored.columns).collect()))
