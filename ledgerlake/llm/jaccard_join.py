@@ -211,12 +211,20 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
                    .groupBy("cls", "n", "g").agg(F.count("*").alias("hits"))
                    .filter(F.col("hits") >= _hits(F.ceil(F.col("n") * num / den)))
                    .select("cls", "g"), "opened")
-    q = member.join(opened, "cls").select(F.col("cls").alias("a"), F.col("n").alias("n_a"), "g", "tok")
-    inside = member.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("grp").alias("g"), "tok")
-    pairs = (q.join(inside, ["g", "tok"])
-             .filter((F.col("n_a") * num <= F.col("n_b") * den) & (F.col("n_b") * num <= F.col("n_a") * den))
-             .groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("hits"))
-             .filter(F.col("hits") >= _hits(F.least("n_a", "n_b"))).select("a", "b"))
+    # Opened groups: a member stays if the common leading tokens and all later ones could reach the
+    # overlap that Jaccard num/den asks for. (What is common beyond the shorter lead lies after it.)
+    lead = grouped.select("cls", "n", "grp", "lead")
+    q = stage(lead.join(opened, "cls").select(
+        F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("lead").alias("lead_a"), "g"), "open-queries")
+    inside = lead.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("lead").alias("lead_b"),
+                         F.col("grp").alias("g"))
+    common = F.size(F.array_intersect("lead_a", "lead_b"))
+    later = F.greatest(F.col("n_a") - F.size("lead_a"), F.col("n_b") - F.size("lead_b"))
+    pairs = (q.join(inside.hint("merge"), "g")
+             .filter((F.col("n_a") * num <= F.col("n_b") * den) & (F.col("n_b") * num <= F.col("n_a") * den)
+                     & (common >= _hits(F.least("n_a", "n_b")))
+                     & ((common + later) * (num + den) >= (F.col("n_a") + F.col("n_b")) * num))
+             .select("a", "b"))
     far = stage(verified(pairs, docs, k, num, den), "links")
     found = components(near.unionByName(far))
 
