@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import UPPER, small_batches, without
+from ledgerlake.llm.common import UPPER, small_batches, stage, without
 
 # The bound of the labelled sample, in documents (expected size).
 MAX_LABELLED = 12_000
@@ -93,16 +93,48 @@ def _sample_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for toxic, text in zip(pdf["toxic"], pdf["text"]):
             c = word_counts(text)
-            rows.append((int(toxic), [zlib.crc32(w) for w in c], list(c.values())))
+            rows.append((int(toxic > 0), [zlib.crc32(w) for w in c], list(c.values())))
         yield pd.DataFrame(rows, columns=["toxic", "ids", "counts"])
 
 
+def _chosen_only(chosen: np.ndarray):
+    """Rows of the sample reduced to the chosen words, with the count of all words."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for toxic, ids, counts in zip(pdf["toxic"], pdf["ids"], pdf["counts"]):
+                col = np.searchsorted(chosen, ids)
+                here = chosen[np.minimum(col, len(chosen) - 1)] == ids
+                rows.append((toxic, col[here], counts[here], int(counts.sum())))
+            yield pd.DataFrame(rows, columns=["toxic", "cols", "counts", "total"])
+
+    return run
+
+
+def associated_words(sample: DataFrame, n1: int, n0: int) -> pd.DataFrame:
+    """(id, z) of the words that labelled documents associate most with a label, by id.
+
+    ``sample``: toxic 0/1 and ids, one row a document, ``n1`` toxic and ``n0``
+    clean ones. Documents are counted per word in Spark; at most
+    ``MAX_FEATURES`` rows reach the driver.
+    """
+    count = sample.select("toxic", F.explode("ids").alias("id")).groupBy("id").agg(
+        F.sum("toxic").alias("d1"), F.count("*").alias("d"))
+    p = (F.col("d") + 1) / F.lit(n1 + n0 + 2)
+    gap = (F.col("d1") + 0.5) / F.lit(n1 + 1) - (F.col("d") - F.col("d1") + 0.5) / F.lit(n0 + 1)
+    z = gap / F.sqrt(p * (1 - p) * F.lit(1 / n1 + 1 / n0))
+    strong = count.filter(F.col("d") >= MIN_DOCS).select("id", z.alias("z")).filter(F.abs("z") >= MIN_Z)
+    return strong.orderBy(F.desc(F.abs("z")), "id").limit(MAX_FEATURES).toPandas().sort_values("id")
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> OrdinalModel | None:
     """Fit on labelled documents (labels: doc_id, toxic 0/1), or None without toxic and clean ones.
 
     Grades: 0 for clean documents; toxic ones are 1, and 2 where the share of
     associated words is above the median of the toxic ones. Null labels are
-    ignored. About ``max_labelled`` documents are taken by a hash of doc_id.
+    ignored. About ``max_labelled`` documents are taken by a hash of doc_id;
+    their counts of chosen words reach the driver, their texts do not.
     """
     small_batches(docs.sparkSession)
     known = labels.filter("doc_id is not null and toxic is not null")
@@ -110,43 +142,35 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     if n == 0:
         return None
     share = min(1_000_000, max_labelled * 1_000_000 // n)
-    sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).select(
+    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).select(
         F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    joined = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id"))
-    got = joined.select("toxic", "text").mapInPandas(_sample_features, "toxic int, ids array<long>, counts array<int>").toPandas()
-    return fit_sample(got["toxic"].to_numpy(), list(got["ids"]), list(got["counts"]))
-
-
-def fit_sample(toxic: np.ndarray, ids: list, counts: list) -> OrdinalModel | None:
-    toxic = np.asarray(toxic) > 0
-    if toxic.all() or not toxic.any():
+    joined = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
+    sample = stage(joined.select("toxic", "text").mapInPandas(
+        _sample_features, "toxic int, ids array<long>, counts array<int>"), "toxicity-sample")
+    size = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("n1")).first()
+    n1, n0 = size["n1"], size["n"] - size["n1"]
+    if not n1 or not n0:
         return None
-    size = np.array([len(x) for x in ids])
-    row = np.repeat(np.arange(len(ids)), size)
-    flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in ids])
-    tf = np.concatenate([np.asarray(x, dtype=np.float64) for x in counts])
-    feature, col = np.unique(flat, return_inverse=True)
-    n1, n0 = toxic.sum(), (~toxic).sum()
-    d1 = np.bincount(col, weights=toxic[row], minlength=len(feature))
-    d0 = np.bincount(col, minlength=len(feature)) - d1
-    p = (d1 + d0 + 1) / (n1 + n0 + 2)
-    z = ((d1 + 0.5) / (n1 + 1) - (d0 + 0.5) / (n0 + 1)) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    strong = np.where(d1 + d0 >= MIN_DOCS, np.abs(z), 0)
-    chosen = np.sort(np.argsort(-strong, kind="stable")[:MAX_FEATURES])
-    chosen = chosen[strong[chosen] >= MIN_Z]
-    if not len(chosen):
+    words = associated_words(sample, n1, n0)
+    if words.empty:
         return None
-    place = np.full(len(feature), -1)
-    place[chosen] = np.arange(len(chosen))
-    keep = place[col] >= 0
-    row_k, col_k, tf_k = row[keep], place[col[keep]], tf[keep]
-    hit = z[chosen][col_k] > 0
-    density = np.bincount(row_k[hit], weights=tf_k[hit], minlength=len(ids)) / np.maximum(
-        1, np.bincount(row, weights=tf, minlength=len(ids)))
+    got = sample.mapInPandas(_chosen_only(words["id"].to_numpy(np.int64)),
+                             "toxic int, cols array<int>, counts array<int>, total long").toPandas()
+    return fit_sample(got, words["id"].to_numpy(), words["z"].to_numpy())
+
+
+def fit_sample(rows: pd.DataFrame, ids: np.ndarray, z: np.ndarray) -> OrdinalModel:
+    """Fit on documents given as toxic 0/1, cols (places in ``ids``), counts and total words."""
+    toxic = rows["toxic"].to_numpy() > 0
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows["cols"]])
+    col = np.concatenate([np.asarray(x, dtype=np.int64) for x in rows["cols"]])
+    tf = np.concatenate([np.asarray(x, dtype=np.float64) for x in rows["counts"]])
+    hit = z[col] > 0
+    density = np.bincount(row[hit], weights=tf[hit], minlength=len(rows)) / np.maximum(1, rows["total"].to_numpy())
     grade = toxic.astype(int)
     grade[toxic & (density > np.median(density[toxic]))] = 2
-    w, theta = fit_ordinal(row_k, col_k, np.log1p(tf_k), grade, len(chosen))
-    return OrdinalModel({int(f): float(x) for f, x in zip(feature[chosen], w)}, theta)
+    w, theta = fit_ordinal(row, col, np.log1p(tf), grade, len(ids))
+    return OrdinalModel({int(f): float(x) for f, x in zip(ids, w)}, theta)
 
 
 def score_toxicity(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
