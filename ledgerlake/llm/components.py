@@ -14,30 +14,36 @@ def _hook(edges: DataFrame, mins: DataFrame) -> DataFrame:
     return edges.join(mins, "u")
 
 
+def _is_star(edges: DataFrame) -> bool:
+    """Does every node point at one other node, which itself points nowhere?"""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    per = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return per.agg(F.count_if((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0)))).first()[0] == 0
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over the links.
 
-    Only nodes with a link to another node appear. Each round stores its
-    edges; nothing but two numbers of a round reaches the driver. Rounds grow
-    with the logarithm of the number of nodes.
+    Only nodes with a link to another node appear. Each half of a round stores
+    its edges and ends the search when they are stars; nothing but that answer
+    reaches the driver. Rounds grow with the logarithm of the number of nodes.
     """
     edges = stage(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                   .filter("u <> v").distinct(), "cc")
-    last = None
-    for _ in range(max_rounds):
-        # Large star: neighbours above u go to the smallest of u and its neighbours.
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        mins = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-m")
-        large = _hook(both, mins).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # Small star: what is below u goes to the smallest of it, and so does u.
-        large = stage(large, "cc-l")
-        mins = stage(large.groupBy("u").agg(F.min("v").alias("m")), "cc-m")
-        small = _hook(large, mins)
-        edges = stage(small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-                      .unionByName(mins.select("u", F.col("m").alias("v"))).distinct(), "cc")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == last or now[0] == 0:
+    for half in range(2 * max_rounds):
+        if _is_star(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        last = now
+        if half % 2 == 0:
+            # Large star: neighbours above u go to the smallest of u and its neighbours.
+            both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            mins = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-m")
+            star = _hook(both, mins).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        else:
+            # Small star: what is below u goes to the smallest of it, and so does u.
+            mins = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-m")
+            star = _hook(edges, mins).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(
+                mins.select("u", F.col("m").alias("v")))
+        edges = stage(star.distinct(), "cc")
     raise RuntimeError("components did not settle")

@@ -226,7 +226,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
                      & ((common + later) * (num + den) >= (F.col("n_a") + F.col("n_b")) * num))
              .select("a", "b"))
     far = stage(verified(pairs, docs, k, num, den), "links")
-    found = components(near.unionByName(far))
+    found = components(far.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     known = sets.select("doc_id", *same).join(classes, same, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("cls", "doc_id").alias("cls"))
