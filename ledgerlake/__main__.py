@@ -3,9 +3,9 @@
     python -m ledgerlake --sf-dir /root/testdata/sf0.01 --root /shared/lake --run-date 2024-01-31
 
 Sources are the three Bronze inputs derived from the driver tables of
-``--sf-dir``. ``--root`` defaults to a fresh folder under the session's
-``spark.checkpoint.dir``. Prints the run result as JSON and exits non-zero
-when ``--gate`` is set and a check failed.
+``--sf-dir``. ``--root`` must lie on storage that all executors share. Prints
+the run result as JSON and exits non-zero when ``--gate`` is set and a check
+failed.
 """
 
 from __future__ import annotations
