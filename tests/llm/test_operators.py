@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -470,6 +471,14 @@ def test_lm_scores(spark):
     assert attention_lm.score_corpus(df.limit(0)).count() == 0
 
 
+def test_lm_trains_on_every_document():
+    docs = [prose(random.Random(d), n) for d, n in enumerate((1, 20, 40, 200, 2000))] + ["", None]
+    run = attention_lm._train_windows(attention_lm.TOKENIZER)
+    for text in docs:
+        got = [b for b in run(iter([pd.DataFrame({"text": [text]})]))]
+        assert sum(map(len, got)) > 0
+
+
 def test_lm_probabilities_sum_to_one():
     counts = np.random.default_rng(2).integers(0, 50, attention_lm.END + 1).astype(float)
     entry, share = attention_lm.entries_of(counts)
