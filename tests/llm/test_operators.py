@@ -471,12 +471,15 @@ def test_lm_scores(spark):
     assert attention_lm.score_corpus(df.limit(0)).count() == 0
 
 
-def test_lm_trains_on_every_document():
-    docs = [prose(random.Random(d), n) for d, n in enumerate((1, 20, 40, 200, 2000))] + ["", None]
-    run = attention_lm._train_windows(attention_lm.TOKENIZER)
+def test_lm_trains_on_every_subword_of_every_document():
+    docs = [prose(random.Random(d), n) for d, n in enumerate((1, 20, 40, 200, 2000))] + ["", None, "x1" * 4000]
+    sub = attention_lm.subwords(attention_lm.TOKENIZER)
+    run = attention_lm._runs(attention_lm.TOKENIZER)
     for text in docs:
-        got = [b for b in run(iter([pd.DataFrame({"text": [text]})]))]
-        assert sum(map(len, got)) > 0
+        got = [x for pdf in run(iter([pd.DataFrame({"text": [text]})])) for x in pdf["run"]]
+        assert max(map(len, got)) <= attention_lm.CONTEXT + attention_lm.RUN
+        want = attention_lm.windows(sub.text(attention_lm.words(text)))
+        assert np.array_equal(np.concatenate([attention_lm.run_windows(x) for x in got]), want)
 
 
 def test_lm_probabilities_sum_to_one():
