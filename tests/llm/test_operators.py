@@ -482,6 +482,21 @@ def test_lm_trains_on_every_subword_of_every_document():
         assert np.array_equal(np.concatenate([attention_lm.run_windows(x) for x in got]), want)
 
 
+def test_lm_bigrams_across_words_are_counted():
+    sub = attention_lm.subwords(attention_lm.TOKENIZER)
+    texts = ["red car. blue sky. " * 500, "red car", "", None, "blue"]
+    rows = [sub.text(attention_lm.words(t)) for t in texts]
+    entry, _ = attention_lm.entries_of(np.bincount(np.concatenate(rows), minlength=attention_lm.END + 1).astype(float))
+    want = Counter()
+    for ids in rows:
+        at = [attention_lm.STOP, *entry[ids]]
+        want.update(zip(at[:-1], at[1:]))
+    runs = [x for pdf in attention_lm._runs(attention_lm.TOKENIZER)(iter([pd.DataFrame({"text": texts})])) for x in pdf["run"]]
+    frame = pd.DataFrame({"run": pd.Series(runs, dtype=object)})
+    got = pd.concat(attention_lm._count_bigrams(entry)(iter([frame])))
+    assert {(a, b): n for a, b, n in zip(got["a"], got["b"], got["n"])} == want
+
+
 def test_lm_probabilities_sum_to_one():
     counts = np.random.default_rng(2).integers(0, 50, attention_lm.END + 1).astype(float)
     entry, share = attention_lm.entries_of(counts)
