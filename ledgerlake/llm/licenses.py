@@ -2,12 +2,15 @@
 
 Notices are word templates. Templates of similar length form a class of
 windows: a class whose longest template has ``m`` shingles slides windows of
-``2m`` shingles by ``m``, so every occurrence lies whole in some window, and
-that window's Jaccard similarity with the template is at least
-``threshold * m_min / (2m)`` if it holds ``threshold`` of its shingles. The
-number of one-row bands follows from that: the chance of missing all bands is
-at most ``MISS``. Retrieved (window, template) pairs are verified by the exact
-share of the template's shingles in the window.
+``3m`` shingles by ``m``, so every occurrence spread over at most ``2m``
+shingles lies whole in some window, at any place in the text: words put into a
+notice may stretch it by the ``m`` shingles of the longest template. (Templates
+of one shingle can't be stretched: windows of 2 by 1.) A window that holds
+``threshold`` of a template's shingles has a Jaccard similarity of at least
+``threshold * m_min / (3m + (1 - threshold) * m_min)`` with it. The number of
+one-row bands follows from that: the chance of missing all bands is at most
+``MISS``. Retrieved (window, template) pairs are verified by the exact share of
+the template's shingles in the window.
 
 Only DataFrame functions run. A sound test comes first: each template has
 words (``anchors``) that more than 1 - threshold of its shingles hold, so a
@@ -95,15 +98,16 @@ def classes(templates: list[tuple[str, str]], k: int = SHINGLE, threshold: float
         c["items"].append((t, name, sh))
         c["low"], c["high"] = min(c["low"], len(sh)), max(c["high"], len(sh))
     for c in out.values():
-        # A window has 2 * high shingles and starts every ``high``: it holds any run of ``high`` shingles.
-        c["bands"] = bands_for(threshold * c["low"] / (2 * c["high"] + (1 - threshold) * c["low"]))
+        # A window has ``span`` shingles and starts every ``high``: some window holds any run of span - high shingles.
+        c["span"] = 3 * c["high"] if c["high"] > 1 else 2
+        c["bands"] = bands_for(threshold * c["low"] / (c["span"] + (1 - threshold) * c["low"]))
     return [out[key] for key in sorted(out)]
 
 
 def _window_class(words: DataFrame, spec: dict, marks: list[str], threshold: float) -> DataFrame:
     spark = words.sparkSession
     width, step, bands = spec["width"], spec["high"], spec["bands"]
-    span = 2 * step + width - 1  # words of a window
+    span = spec["span"] + width - 1  # words of a window
     items = spark.createDataFrame([(t, name, sh) for t, name, sh in spec["items"]],
                                   "template int, license string, wanted array<string>")
     key = lambda arr, b: F.array_min(F.transform(arr, lambda s: F.xxhash64(s, F.lit(b))))

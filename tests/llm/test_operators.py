@@ -410,6 +410,20 @@ def test_license_scan_equals_brute_force(spark):
     assert got == want and len(want) > 60
 
 
+@pytest.mark.parametrize("template, inserted", [(1, 20), (3, 8), (5, 25)])
+def test_license_stretched_by_a_phrase_is_found_at_every_place(spark, template, inserted):
+    body = licenses.template_words(licenses.TEMPLATES[template][1])
+    sh = licenses.template_shingles(licenses.TEMPLATES[template][1])
+    phrase = [f"put{i}" for i in range(inserted)]
+    stretched = body[: len(body) // 2] + phrase + body[len(body) // 2 :]
+    held = len(set(sh) & set(licenses.template_shingles(" ".join(stretched))))
+    assert held >= 0.8 * len(sh)
+    docs = [(d, " ".join([f"lead{i}" for i in range(d)] + stretched + [f"tail{i}" for i in range(60)]))
+            for d in range(2 * len(sh))]
+    found = licenses.scan_licenses(spark.createDataFrame(docs, DOCS)).filter(F.col("template") == template)
+    assert {r.doc_id: r.n_found for r in found.collect()} == {d: held for d, _ in docs}
+
+
 def test_license_bands_and_anchors():
     assert 1 - (1 - 0.3) ** licenses.bands_for(0.3) >= 1 - 1e-4
     marks = set(licenses.anchors(licenses.TEMPLATES))
