@@ -33,12 +33,30 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
 
     Cuts the lineage: a lost executor never repeats what lies before it.
     """
+    return stage_at(df, label, partition_by)[0]
+
+
+def stage_at(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """``stage`` with the folder written, for ``discard`` once a later stage replaces it."""
     path = scratch_root(df.sparkSession, label)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete staged folders that nothing reads any more, through their own file system."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def finite(vector: str, most: float = float("inf")) -> Column:
+    """Is the vector there, with every component given, finite and within ``most``?"""
+    return F.coalesce(F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (
+        F.abs(x) < most if most == float("inf") else F.abs(x) <= most)), F.lit(False))
 
 
 def fold(text: Column) -> Column:

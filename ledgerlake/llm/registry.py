@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (attention_lm, decontaminate, jaccard_join, licenses, line_dedup, packing, quality_rules,
-                            sharding, toxicity, url_filter)
+from ledgerlake.llm import (attention_lm, decontaminate, hard_negatives, html_text, jaccard_join, licenses, line_dedup,
+                            packing, quality_rules, sharding, toxicity, url_filter, vector_codes)
 from ledgerlake.llm.common import documents
 
 
@@ -64,6 +64,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(documents(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", "n_chars")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_table(*vector_codes.encode(documents(spark, sf_dir, "embeddings")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -75,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_packing": op9_packing,
     "op10_licenses": op10_licenses,
+    "op11_html_text": op11_html_text,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -133,8 +151,72 @@ FROM url LEFT JOIN listed ON canonical = c
 """
 
 
+# The text of the article element: what the density search has to find on these pages.
+OP11_SQL = r"""
+WITH cut AS (SELECT page_id, url, coalesce(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '') AS a FROM pages),
+plain AS (SELECT page_id, url, regexp_replace(replace(a, '<br>', ' '), '<(?:[^hp/>]|/[^hp>])[^>]*>', '', 'g') AS a FROM cut),
+block AS (SELECT page_id, url, list_filter(list_transform(string_split_regex(a, '</?(h1|p)>'),
+    lambda b: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      b, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&copy;?', chr(169), 'g'),
+      '&middot;?', chr(183), 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda b: b <> '') AS b FROM plain),
+whole AS (SELECT page_id, url, array_to_string(b, chr(10) || chr(10)) AS text FROM block)
+SELECT page_id, url, text, length(text) AS n_chars FROM whole
+"""
+
+
+def _op12_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds written out: full scans of every codebook, entry by entry."""
+    out = """
+WITH v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda c: floor(4096 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+part AS MATERIALIZED (SELECT vec_id, p, x[p * (len(x) // 8) + 1 : (p + 1) * (len(x) // 8)] AS x FROM v, range(8) AS t(p)),
+b0 AS MATERIALIZED (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM part
+  WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 16)),
+"""
+    for k in range(rounds + 1):
+        out += f"""
+a{k} AS MATERIALIZED (SELECT vec_id, p, min({{'d': list_sum(list_transform(list_zip(part.x, b.x),
+      lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': b.e}}) AS best FROM part JOIN b{k} b USING (p) GROUP BY vec_id, p),
+"""
+        if k < rounds:
+            out += f"""
+s{k} AS (SELECT p, best.e AS e, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM a{k} JOIN part USING (vec_id, p)),
+m{k} AS (SELECT p, e, list(c ORDER BY i) AS x FROM (
+  SELECT p, e, i, floor(sum(c)::DOUBLE / count(*))::BIGINT AS c FROM s{k} GROUP BY p, e, i) GROUP BY p, e),
+b{k + 1} AS MATERIALIZED (SELECT b.p, coalesce(m.x, b.x) AS x, b.e FROM b{k} b LEFT JOIN m{k} m ON m.p = b.p AND m.e = b.e),
+"""
+    return out + f"""
+flat AS (SELECT p, e, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM b{rounds}),
+digest AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, i)) AS d FROM flat),
+coded AS (SELECT vec_id, string_agg(lower(printf('%02x', best.e::INTEGER)), '' ORDER BY p) AS code,
+  sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT d FROM digest) AS codebooks_sha256 FROM coded JOIN v USING (vec_id)
+"""
+
+
+OP13_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_dot_product(a.x, b.x) AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT anchor_id, other AS positive_id, score AS ps FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other))::INTEGER AS rank,
+  s.other AS negative_id, p.ps::BIGINT AS positive_score, s.score::BIGINT AS negative_score
+FROM pos p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.ps <= 100 * s.score AND 100 * s.score <= 100 * p.ps
+QUALIFY rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op3_jaccard_join": OP3_SQL,
     "op8_url_filter": _op8_sql(),
+    "op11_html_text": OP11_SQL,
+    "op12_vector_codes": _op12_sql(),
+    "op13_hard_negatives": OP13_SQL,
 }
