@@ -3,7 +3,7 @@
 from ledgerlake.functions.numeric import (
     exact_avg,
     exact_sum,
-    money,
+    exact_sum_sql,
     ratio,
     round_half_even_ratio,
     round_ratio,
@@ -15,7 +15,7 @@ __all__ = [
     "exact_avg",
     "exact_sum",
     "iso_text",
-    "money",
+    "exact_sum_sql",
     "normalize",
     "parse_timestamp",
     "ratio",

@@ -1,9 +1,16 @@
 """Exact arithmetic for money sums, averages and rounded ratios.
 
 Sums of doubles depend on the order in which a shuffle delivers rows, so two
-runs (or two engines) can differ in the last bit.  Amounts carry two
-decimals, so they are summed as ``decimal(18,2)`` (exact, order independent)
-and only the final value is turned into a double.
+runs (or two engines) can differ in the last bit. ``exact_sum`` adds the amounts
+as they are written (the shortest decimal of each double), without rounding any:
+
+* amounts with at most two decimals as whole hundredths,
+* others as a high part of 14 decimals and a low part of what lies beyond,
+* amounts of 1e13 and more, infinities and NaN as doubles (the only part whose
+  last bits depend on the order).
+
+Each part is an exact decimal sum, whatever the order of the rows; only the
+final values are turned into doubles and added.
 
 Rounded ratios are computed with integer arithmetic: ``round_ratio`` yields
 the exact half-up rounding of ``factor * num / den``; the result is the
@@ -16,21 +23,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def money(col: Column | str) -> Column:
-    """A 2-decimal amount as an exact decimal."""
-    return _c(col).cast(MONEY)
-
-
-def exact_sum(col: Column | str) -> Column:
-    """SUM of a money column, exact (decimal result, NULL for no rows)."""
-    return F.sum(money(col))
+def exact_sum_sql(x: str, weight: str | None = None) -> str:
+    """SQL of ``exact_sum`` over the column expressions ``x`` and ``weight``."""
+    hundredths = f"rint({x} * 100D)"
+    small = f"abs({x}) < 1e13D"
+    even = f"{small} AND {hundredths} / 100D = {x}"
+    fine = f"{small} AND {hundredths} / 100D != {x}"
+    written = f"CAST({x} AS DECIMAL(37,24))"
+    high = f"CAST({written} AS DECIMAL(27,14))"
+    times = f" * CAST({weight} AS DECIMAL({{}},0))" if weight else ""
+    whole_sum = f"SUM(CASE WHEN {even} THEN CAST(CAST({hundredths} AS BIGINT) AS DECIMAL(16,0)){times.format(19)} END)"
+    high_sum = f"SUM(CASE WHEN {fine} THEN {high}{times.format(10)} END)"
+    low_sum = f"SUM(CASE WHEN {fine} THEN CAST({written} - {high} AS DECIMAL(24,24)){times.format(10)} END)"
+    large_sum = f"SUM(CASE WHEN NOT ({small}) THEN {x}{f' * {weight}' if weight else ''} END)"
+    parts = [f"CAST(CAST({whole_sum} AS DECIMAL(35,0)) * 0.01BD AS DOUBLE)", f"CAST({high_sum} AS DOUBLE)",
+             f"CAST({low_sum} AS DOUBLE)", f"CAST({large_sum} AS DOUBLE)"]
+    counted = f"COUNT(CASE WHEN {weight} IS NOT NULL THEN {x} END)" if weight else f"COUNT({x})"
+    return f"CASE WHEN {counted} > 0 THEN " + " + ".join(f"COALESCE({p}, 0D)" for p in parts) + " END"
+
+
+def exact_sum(col: str, weight: str | None = None) -> Column:
+    """SUM(col), or SUM(col * weight), of a double column: exact and order independent, NULL for no rows.
+
+    ``weight`` is a whole number (below 1e10 for amounts of more than two decimals).
+    """
+    return F.expr(exact_sum_sql(f"`{col}`", f"`{weight}`" if weight else None))
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -38,9 +60,9 @@ def ratio(num: Column, den: Column) -> Column:
     return num.cast("double") / F.nullif(den, F.lit(0)).cast("double")
 
 
-def exact_avg(col: Column | str) -> Column:
-    """AVG of a money column: exact sum over the non-null count."""
-    return ratio(exact_sum(col).cast("double"), F.count(_c(col)))
+def exact_avg(col: str) -> Column:
+    """AVG of a double column: exact sum over the non-null count."""
+    return ratio(exact_sum(col), F.count(_c(col)))
 
 
 def _div(a: Column, b: Column) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.constants import ENTITIES
-from ledgerlake.plans.gold import gold_from_facts, transaction_facts
+from ledgerlake.plans.gold import gold_from_facts, transaction_facts, user_activity
 from ledgerlake.plans.quality import assert_quality, quality_report, quality_summary, write_report_csv
 from ledgerlake.plans.silver import (
     clean_transaction_details,
@@ -120,17 +120,20 @@ BOUNDED_GOLD = ("gold_channel_metrics", "gold_payment_method_metrics", "gold_sum
 def run_gold(spark: SparkSession, root: str, run_date: str) -> dict:
     """Build the four Gold tables from Silver and write them (sorted as specified).
 
-    The details are read, reduced and joined with the transactions once: the
-    result is stored as ``gold/transaction_facts`` and the channel,
-    payment-method and summary tables come from it, at every input size.
+    The details are read, folded per transaction and joined with the transactions once, the
+    transactions folded per user once: both are stored (``gold/transaction_facts``,
+    ``gold/user_activity``) and the four tables come from them, at every input size.
     """
     silver = load_layer(spark, root, "silver", run_date)
-    users, tx, details = silver["users"], silver["transactions"], silver["transaction_details"]
-    stored = transaction_facts(tx, details)
-    write_layer_counted(stored, root, "gold", "transaction_facts", run_date)
-    facts = read_layer(spark, root, "gold", "transaction_facts", run_date, stored.schema)
+    tx = silver["transactions"]
+    shared = {}
+    for name, df in (("transaction_facts", transaction_facts(tx, silver["transaction_details"])),
+                     ("user_activity", user_activity(tx))):
+        write_layer_counted(df, root, "gold", name, run_date)
+        shared[name] = read_layer(spark, root, "gold", name, run_date, df.schema)
     paths, counts = {}, {}
-    for name, df in gold_from_facts(users, tx, facts).items():
+    for name, df in gold_from_facts(silver["users"], tx, shared["transaction_facts"],
+                                    activity=shared["user_activity"]).items():
         # The writer's own ordering (partition column first) replaces the
         # plan's ORDER BY, so the order is passed to it explicitly.
         paths[name], counts[name] = write_layer_counted(df, root, "gold", name, run_date, gold_order(name),

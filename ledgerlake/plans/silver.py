@@ -92,7 +92,7 @@ def transaction_steps(users_silver: DataFrame | None) -> list[Step]:
     return steps
 
 
-def detail_steps(tx_silver: DataFrame, null_policy: str = "drop") -> list[Step]:
+def detail_steps(tx_silver: DataFrame | None, null_policy: str = "drop") -> list[Step]:
     return [
         ("duplicate_key", lambda df: dedupe("transaction_details", df)),
         ("unknown_transaction", lambda df: require_reference(df, tx_silver, TX_KEY)),
@@ -136,8 +136,20 @@ def clean_transactions(
     return stamp(_drop_seq(df), processed_at)
 
 
+def transactions_unlinked(tx_bronze: DataFrame) -> DataFrame:
+    """Clean transactions but for the user check (and audit columns), for consumers that join the users anyway."""
+    return _drop_seq(transactions_candidates(tx_bronze).withColumn("created_at", parse_timestamp("created_at")))
+
+
 # --------------------------------------------------------------------------- details
 
+def details_unlinked(details_bronze: DataFrame, null_policy: str = "drop") -> DataFrame:
+    """Clean details but for the transaction check (and audit columns), for consumers that join the
+    transactions anyway: what they fold per transaction first need not be shuffled row by row."""
+    steps = detail_steps(None, null_policy)
+    return _drop_seq(apply_steps(details_bronze, [s for s in steps if s[0] != "unknown_transaction"]))
+
+
 def details_with_transaction(details_bronze: DataFrame, tx_silver: DataFrame) -> DataFrame:
     """Deduplicated details whose transaction is in Silver."""
     return apply_steps(details_bronze, detail_steps(tx_silver)[:2])

@@ -4,7 +4,7 @@ For users who keep their metric definitions as SQL text: the three Silver
 tables are registered as temporary views (``users``, ``transactions``,
 ``transaction_details``) and each Gold table is one ``spark.sql`` statement.
 Catalyst plans SQL and DataFrame code alike; the statements use the same
-exact arithmetic as ``ledgerlake.plans.gold`` (decimal money sums, integer
+exact arithmetic as ``ledgerlake.plans.gold`` (order-independent sums, integer
 half-up rounding with ``div``), so both forms return the same values.
 """
 
@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.functions.numeric import exact_sum_sql
+
 VIEW_NAMES = {"users": "users", "transactions": "transactions", "transaction_details": "transaction_details"}
 
 
@@ -21,10 +23,6 @@ def register_views(silver: dict[str, DataFrame], names: dict[str, str] | None =
         silver[entity].createOrReplaceTempView(view)
 
 
-def _money_sum(x: str) -> str:
-    return f"SUM(CAST({x} AS DECIMAL(18,2)))"
-
-
 def _rate(num: str, den: str, factor: int = 100) -> str:
     """ROUND(factor * num / den, 2), exact half-up, NULL for den = 0."""
     return (f"CAST((({num}) * {2 * factor * 100} + ({den})) DIV NULLIF(2 * ({den}), 0) AS DOUBLE)"
@@ -37,7 +35,7 @@ SELECT transaction_id, {dims} COUNT(*) AS n, SUM(processing_time_ms) AS ms, COUN
 FROM transaction_details GROUP BY ALL
 """
 
-_WEIGHTED_SUM = "SUM(CAST(amount AS DECIMAL(18,2)) * n)"
+_WEIGHTED_SUM = exact_sum_sql("amount", "n")
 _WEIGHT = "SUM(IF(amount IS NULL, 0, n))"
 
 
@@ -52,8 +50,8 @@ metric AS (
          SUM(IF(status = 'success', n, 0)) AS successful, SUM(IF(status = 'failed', n, 0)) AS failed,
          SUM(ms) AS ms, SUM(ms_n) AS ms_n
   FROM fact GROUP BY {dim})
-SELECT {dim}, total_transactions, CAST(volume AS DOUBLE) AS total_amount,
-       CAST(volume AS DOUBLE) / NULLIF(weight, 0) AS avg_amount,
+SELECT {dim}, total_transactions, volume AS total_amount,
+       volume / NULLIF(weight, 0) AS avg_amount,
        {_rate('ms', 'ms_n', 1)} AS avg_processing_time_ms, {outcomes}
        {_rate('successful', 'total_transactions')} AS success_rate_pct
 FROM metric ORDER BY {order} DESC, {dim}
@@ -63,13 +61,13 @@ FROM metric ORDER BY {order} DESC, {dim}
 GOLD_SQL = {
     "gold_user_metrics": f"""
 WITH activity AS (
-  SELECT user_id, COUNT(transaction_id) AS n, {_money_sum('amount')} AS volume, COUNT(amount) AS priced,
+  SELECT user_id, COUNT(transaction_id) AS n, {exact_sum_sql('amount')} AS volume, COUNT(amount) AS priced,
          MAX(amount) AS highest, MIN(amount) AS lowest,
          COUNT_IF(status = 'success') AS ok, COUNT_IF(status = 'failed') AS bad,
          MIN(created_at) AS earliest, MAX(created_at) AS latest
   FROM transactions GROUP BY user_id)
-SELECT user_id, name, email, COALESCE(n, 0) AS total_transactions, CAST(volume AS DOUBLE) AS total_amount,
-       CAST(volume AS DOUBLE) / NULLIF(priced, 0) AS avg_amount, highest AS max_amount, lowest AS min_amount,
+SELECT user_id, name, email, COALESCE(n, 0) AS total_transactions, volume AS total_amount,
+       volume / NULLIF(priced, 0) AS avg_amount, highest AS max_amount, lowest AS min_amount,
        COALESCE(ok, 0) AS successful_transactions, COALESCE(bad, 0) AS failed_transactions,
        {_rate('ok', 'n')} AS success_rate_pct,
        earliest AS first_transaction_at, latest AS last_transaction_at
@@ -88,8 +86,8 @@ total AS (
          SUM(n) AS joined_rows, SUM(IF(status = 'success', n, 0)) AS ok, SUM(ms) AS ms, SUM(ms_n) AS ms_n,
          MIN(created_at) AS pipeline_start, MAX(created_at) AS pipeline_end
   FROM fact)
-SELECT total_transactions, (SELECT active_users FROM active) AS active_users, CAST(volume AS DOUBLE) AS total_volume,
-       CAST(volume AS DOUBLE) / NULLIF(weight, 0) AS avg_transaction_amount,
+SELECT total_transactions, (SELECT active_users FROM active) AS active_users, volume AS total_volume,
+       volume / NULLIF(weight, 0) AS avg_transaction_amount,
        {_rate('ok', 'joined_rows')} AS overall_success_rate_pct,
        {_rate('ms', 'ms_n', 1)} AS avg_processing_time_ms,
        pipeline_start, pipeline_end, CURRENT_TIMESTAMP() AS generated_at

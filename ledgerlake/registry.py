@@ -239,34 +239,11 @@ def q_success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.success_rate_by_month(_silver(spark, sf_dir)["transactions"])
 
 
-def q_gold_user_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.sorted_user_metrics(gold.gold_user_metrics(s["users"], s["transactions"]))
-
-
-def q_gold_channel_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.gold_channel_metrics(s["transactions"], s["transaction_details"])
-
-
-def q_gold_payment_method_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.gold_payment_method_metrics(s["transactions"], s["transaction_details"])
-
-
-def q_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.gold_summary(s["transactions"], s["transaction_details"], with_generated_at=False)
-
-
-def q_channel_metrics_per_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.channel_metrics_per_tx(s["transactions"], s["transaction_details"])
-
-
-def q_summary_per_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return gold.summary_per_tx(s["transactions"], s["transaction_details"])
+def q_gold(name: str) -> Query:
+    """A Gold table (or its per-transaction form) from Bronze in one plan."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return gold.gold_from_bronze(_bronze(spark, sf_dir), with_generated_at=False)[name]
+    return run
 
 
 def q_gold_sql(name: str) -> Query:
@@ -369,12 +346,12 @@ QUERIES: dict[str, Query] = {
     "silver_transaction_details": q_silver("transaction_details"),
     "silver_rejects": q_silver_rejects,
     "success_rate": q_success_rate,
-    "gold_user_metrics": q_gold_user_metrics,
-    "gold_channel_metrics": q_gold_channel_metrics,
-    "gold_payment_method_metrics": q_gold_payment_method_metrics,
-    "gold_summary": q_gold_summary,
-    "channel_metrics_per_tx": q_channel_metrics_per_tx,
-    "summary_per_tx": q_summary_per_tx,
+    "gold_user_metrics": q_gold("gold_user_metrics"),
+    "gold_channel_metrics": q_gold("gold_channel_metrics"),
+    "gold_payment_method_metrics": q_gold("gold_payment_method_metrics"),
+    "gold_summary": q_gold("gold_summary"),
+    "channel_metrics_per_tx": q_gold("channel_metrics_per_tx"),
+    "summary_per_tx": q_gold("summary_per_tx"),
     "gold_user_metrics_sql": q_gold_sql("gold_user_metrics"),
     "gold_channel_metrics_sql": q_gold_sql("gold_channel_metrics"),
     "gold_payment_method_metrics_sql": q_gold_sql("gold_payment_method_metrics"),

@@ -1,12 +1,17 @@
 """Column helpers: whitespace strip, exact rounding, timestamp text."""
 
+import math
+import random
 from datetime import datetime
+from fractions import Fraction
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import (
+    exact_avg,
+    exact_sum,
     iso_text,
     normalize,
     parse_timestamp,
@@ -72,3 +77,50 @@ def test_parse_fails_on_malformed_text(spark):
     df = spark.createDataFrame([("not a time",)], "s string")
     with pytest.raises(PySparkException):
         df.select(parse_timestamp("s")).collect()
+
+
+def _written(x):
+    """The number a double is written as."""
+    return Fraction(repr(x))
+
+
+def test_exact_sum_of_any_doubles_in_any_order(spark):
+    rng = random.Random(2)
+    values = [round(rng.uniform(-1e6, 1e6), 2) for _ in range(300)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-6, 12) for _ in range(300)]
+    values += [0.005, 0.004, -0.0, 1e-20, 9_999_999_999_999.99, 0.1, 0.2]
+    rows = [(i % 3, v, i % 5) for i, v in enumerate(values)] + [(7, None, 1)]
+    want = {g: sum(_written(v) for k, v, _ in rows if k == g) for g in range(3)}
+    heavy = {g: sum(_written(v) * w for k, v, w in rows if k == g) for g in range(3)}
+    seen = set()
+    for seed in range(3):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "g int, x double, w long").repartition(1 + 3 * seed)
+        got = {r.g: r for r in df.groupBy("g").agg(
+            exact_sum("x").alias("s"), exact_sum("x", "w").alias("ws"), exact_avg("x").alias("a")).collect()}
+        seen.add(tuple((g, got[g].s, got[g].ws) for g in range(3)))
+        for g in range(3):
+            n = sum(k == g for k, _, _ in rows)
+            assert got[g].s == pytest.approx(float(want[g]), rel=1e-15, abs=1e-21)
+            assert got[g].ws == pytest.approx(float(heavy[g]), rel=1e-15, abs=1e-21)
+            assert got[g].a == pytest.approx(float(want[g] / n), rel=1e-15)
+        assert got[7].s is None and got[7].ws is None and got[7].a is None
+    assert len(seen) == 1                                     # the order of the rows changes no bit
+
+
+def test_exact_sum_of_two_decimal_amounts_is_the_nearest_double(spark):
+    rng = random.Random(3)
+    cents = [rng.randrange(-10**13, 10**13) for _ in range(500)]
+    df = spark.createDataFrame([(c / 100,) for c in cents], "x double").repartition(7)
+    assert df.agg(exact_sum("x")).first()[0] == sum(cents) / 100
+
+
+def test_exact_sum_of_large_and_special_amounts(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(exact_sum("x")).first()[0]
+
+    assert total(1e15, 2e15, 0.25) == 3e15 + 0.25
+    assert total(float("inf"), 1.0) == float("inf")
+    assert math.isnan(total(float("nan"), 1.0))
+    assert total(1e300, 1e300) == 2e300
+    assert spark.createDataFrame([], "x double").agg(exact_sum("x")).first()[0] is None

@@ -109,3 +109,29 @@ def test_gold_from_shared_facts_equals_separate_plans(spark, bronze_smoke):
         a = sorted(tuple(r) for r in separate[name].collect())
         b = sorted(tuple(r) for r in shared[name].collect())
         assert a == b, name
+
+
+def test_values_outside_a_domain_fail_instead_of_dropping_out(spark):
+    import pytest
+
+    tx = _tx(spark, [("t1", "u1", 1.0, "success")])
+    for method, channel in (("crypto", "web"), ("card", None)):
+        details = _details(spark, [("d1", "t1", method, channel, 10)])
+        with pytest.raises(Exception, match="outside its domain"):
+            gold.transaction_facts(tx, details).collect()
+        # any values, without a fixed domain
+        assert gold.dimension_metrics(tx, details, "payment_method").first().payment_method == method
+    unknown = gold.gold_channel_metrics(tx, _details(spark, [("d1", "t1", "unknown", "unknown", 10)])).first()
+    assert unknown.channel == "unknown" and unknown.total_transactions == 1
+
+
+def test_amounts_are_not_rounded_per_row(spark):
+    users = _users(spark, ["u1"])
+    tx = _tx(spark, [("t1", "u1", 0.005, "success"), ("t2", "u1", 0.004, "failed")])
+    u = gold.gold_user_metrics(users, tx).first()
+    assert (u.total_amount, u.avg_amount) == (0.009, 0.0045)
+    details = _details(spark, [("d1", "t1", "card", "web", 1), ("d2", "t1", "card", "web", 1), ("d3", "t2", "pse", "web", 1)])
+    web = gold.gold_channel_metrics(tx, details).first()
+    assert (web.total_amount, web.avg_amount) == (0.014, 0.014 / 3)
+    s = gold.summary_metrics(tx, details).first()
+    assert (s.total_volume, s.avg_transaction_amount) == (0.014, 0.014 / 3)

@@ -93,3 +93,40 @@ def test_rejects_with_hot_unknown_user(spark):
     assert got[("transactions", "invalid_status")] == 0
     assert got[("transactions", "unknown_user")] == hot
     assert s["transactions"].count() == 4000 - amount_bad - hot
+
+
+def test_chained_gold_with_hot_keys_and_orphans_equals_the_steps(spark):
+    """From Bronze in one plan, broadcast off: a hot transaction, a hot user, and details mostly without a transaction."""
+    from ledgerlake.plans import silver
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k) for k in keys}
+    users_b = spark.range(50).select(
+        F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_id"), F.lit("n").alias("name"),
+        F.lit("e@x").alias("email"), F.lit("2024-01-01T00:00:00").alias("created_at"), F.col("id").alias("_seq"))
+    tx_b = spark.range(3000).select(
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, "u1").when(F.col("id") % 3 == 1, "nobody")
+         .otherwise(F.concat(F.lit("u"), (F.col("id") % 50).cast("string"))).alias("user_id"),
+        ((F.col("id") % 9) * 1.5).alias("amount"),
+        F.when(F.col("id") % 4 == 0, " Failed").otherwise("SUCCESS").alias("status"),
+        F.lit("2024-01-02T00:00:00").alias("created_at"), F.col("id").alias("_seq")).repartition(8)
+    details_b = spark.range(N).select(
+        F.concat(F.lit("d"), (F.col("id") % (N - 500)).cast("string")).alias("detail_id"),
+        F.when(F.col("id") % 3 == 0, "t3").when(F.col("id") % 3 == 1, F.concat(F.lit("gone"), F.col("id").cast("string")))
+         .otherwise(F.concat(F.lit("t"), (F.col("id") % 3000).cast("string"))).alias("transaction_id"),
+        F.when(F.col("id") % 5 == 0, "PSE").when(F.col("id") % 5 == 1, "gold").otherwise("card ").alias("payment_method"),
+        F.when(F.col("id") % 2 == 0, "web").otherwise("API").alias("channel"),
+        (F.col("id") % 100 - 3).alias("processing_time_ms"), F.col("id").alias("_seq")).repartition(8)
+    bronze = {"users": users_b, "transactions": tx_b, "transaction_details": details_b}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        steps = gold.build_gold(silver.build_silver(bronze, "x"), with_generated_at=False)
+        chain = gold.gold_from_bronze(bronze, with_generated_at=False)
+        for name, df in steps.items():
+            want = sorted(map(tuple, df.collect()))
+            assert want and sorted(map(tuple, chain[name].collect())) == want, name
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
