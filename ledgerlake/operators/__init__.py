@@ -3,6 +3,7 @@
 from ledgerlake.operators.audit import stamp
 from ledgerlake.operators.dedupe import keep_first
 from ledgerlake.operators.integrity import orphans, reference_flag, require_reference
+from ledgerlake.operators.position import file_position, has_file_positions
 from ledgerlake.operators.rejects import first_failed_rule, reject_table
 from ledgerlake.operators.rules import (
     in_domain,
@@ -14,7 +15,9 @@ from ledgerlake.operators.rules import (
 )
 
 __all__ = [
+    "file_position",
     "first_failed_rule",
+    "has_file_positions",
     "in_domain",
     "is_positive",
     "keep_first",

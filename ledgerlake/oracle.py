@@ -4,8 +4,9 @@ Each statement reads the driver views (customer, orders, lineitem) and
 re-derives Bronze, Silver and Gold in plain SQL, written independently of
 the Spark plans: dedupe uses ``row_number()``, reject counts are
 differences of stage counts, gold tables use the straightforward joins with
-``COUNT(DISTINCT ...)``. Exact arithmetic matches the Spark side: money is
-summed as DECIMAL(18,2) and ratios are rounded with integer division.
+``COUNT(DISTINCT ...)``, rates and averages are DuckDB's own ``ROUND`` of a double
+division. Amounts of two decimals are summed as DECIMAL(18,2), so that the order of
+the rows plays no part; the ``fine_amounts`` queries use plain SUM and AVG of the doubles.
 """
 
 from __future__ import annotations
@@ -21,9 +22,7 @@ def _norm(x: str) -> str:
 
 
 def _rate(num: str, den: str, factor: int = 100, digits: int = 2) -> str:
-    scale = 10 ** digits
-    return (f"(CAST((({num}) * {2 * factor * scale} + ({den})) // NULLIF(2 * ({den}), 0) AS DOUBLE)"
-            f" / {float(scale)})")
+    return f"ROUND({float(factor)}::DOUBLE * ({num}) / NULLIF({den}, 0), {digits})"
 
 
 def _half_even(num: str, den: str, factor: int = 100, digits: int = 1) -> str:
@@ -45,7 +44,9 @@ def _avg_money(x: str) -> str:
 
 _STAMP = R.PROCESSED_AT
 
-PRELUDE = f"""
+def _prelude(tx_lines: str = "true", detail_lines: str = "true", amount: str = "amount") -> str:
+    """Bronze, Silver and their steps; only the Bronze rows that satisfy the given conditions arrive."""
+    return f"""
 WITH
 b_users AS (
   SELECT 'U' || CAST(c_custkey AS VARCHAR) AS user_id,
@@ -57,6 +58,7 @@ b_users AS (
   WHERE s.seq = 0 OR c_custkey % 29 = 0
 ),
 b_tx AS (
+  SELECT * REPLACE ({amount} AS amount) FROM (
   SELECT 'T' || CAST(o_orderkey AS VARCHAR) AS transaction_id,
          'U' || CAST(o_custkey AS VARCHAR) AS user_id,
          CASE WHEN o_orderkey % 83 = 0 THEN NULL
@@ -67,20 +69,22 @@ b_tx AS (
               WHEN o_orderkey % 6 IN (0, 5) THEN 'success'
               WHEN o_orderkey % 6 = 1 THEN 'failed'
               WHEN o_orderkey % 6 = 2 THEN 'SUCCESS'
-              WHEN o_orderkey % 6 = 3 THEN ' Failed '
+              WHEN o_orderkey % 6 = 3 THEN chr(9) || 'Failed' || chr(160) || chr(10)
               ELSE 'FAILED' END AS status,
          replace(CAST(o_orderdate AS VARCHAR), ' ', 'T') AS created_at,
          CAST(s.seq AS BIGINT) AS _seq
   FROM orders, (SELECT 0 AS seq UNION ALL SELECT 1 UNION ALL SELECT 2) s
   WHERE s.seq = 0 OR (s.seq = 1 AND o_orderkey % 50 = 0) OR (s.seq = 2 AND o_orderkey % 53 = 0)
+  ) WHERE {tx_lines}
 ),
 b_details AS (
+  SELECT * FROM (
   SELECT 'D' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS detail_id,
          'T' || CAST(l_orderkey AS VARCHAR) AS transaction_id,
          CASE WHEN l_partkey % 89 = 0 THEN NULL
               WHEN l_suppkey % 6 = 0 THEN 'card'
               WHEN l_suppkey % 6 = 1 THEN 'PSE'
-              WHEN l_suppkey % 6 = 2 THEN ' cash'
+              WHEN l_suppkey % 6 = 2 THEN chr(9) || chr(8195) || 'cash'
               WHEN l_suppkey % 6 = 3 THEN 'Nequi'
               WHEN l_suppkey % 6 = 4 THEN 'daviplata'
               ELSE 'crypto' END AS payment_method,
@@ -92,6 +96,7 @@ b_details AS (
          CAST(l_quantity * 60 AS BIGINT) - 100 AS processing_time_ms,
          l_partkey * 100000 + l_suppkey AS _seq
   FROM lineitem
+  ) WHERE {detail_lines}
 ),
 d_users AS (
   SELECT user_id, name, email, created_at, _seq FROM (
@@ -152,6 +157,9 @@ r_tx AS (
 """
 
 
+PRELUDE = _prelude()
+
+
 def _q(body: str) -> str:
     return PRELUDE + body
 
@@ -425,9 +433,25 @@ SELECT *, {_MONTH} AS date, {_MONTH} >= DATE '{R.HISTORY_END}' AS is_new, COUNT(
 FROM b_tx
 """
 
+
+
+def _common(layer: str, prefix: str, label: str = "", mark: str = "") -> str:
+    """All rows of a layer's tables in the common form of the stored rows; ``mark`` follows each id."""
+    seq = "_seq" if layer == "bronze" else "CAST(NULL AS BIGINT)"
+    columns = {
+        "users": ("user_id", "name", "email", "created_at", "CAST(NULL AS DOUBLE)"),
+        "tx": ("transaction_id", "user_id", "status",
+               "created_at" if layer == "bronze" else "strftime(created_at, '%Y-%m-%d %H:%M:%S')", "amount"),
+        "details": ("detail_id", "transaction_id", "payment_method", "channel", "CAST(processing_time_ms AS DOUBLE)"),
+    }
+    names = {"users": "users", "tx": "transactions", "details": "transaction_details"}
+    return " UNION ALL ".join(
+        f"SELECT {label} '{layer}' AS layer, '{names[t]}' AS entity, {c[0]} || '{mark}' AS id, {c[1]} AS text_1, {c[2]} AS text_2, "
+        f"{c[3]} AS text_3, {c[4]} AS number, {seq} AS arrival FROM {prefix}_{t}" for t, c in columns.items())
+
+
 RERUN_EMPTY = f"""
-SELECT layer, entity, CASE WHEN entity = 'transaction_details' THEN 0 ELSE row_count END AS row_count
-FROM ({LAYER_COUNTS})
+SELECT * FROM ({_common('bronze', 'b')} UNION ALL {_common('silver', 's')}) WHERE entity <> 'transaction_details'
 """
 
 ALL_REJECTED = """
@@ -447,13 +471,71 @@ UNION ALL SELECT 'transaction_details', 'invalid_channel', 0 FROM keys
 UNION ALL SELECT 'transaction_details', 'processing_time_not_positive', 0 FROM keys
 """
 
-_BRONZE_COUNTS = " UNION ALL ".join(
-    f"SELECT '{e}' AS entity, (SELECT COUNT(*) FROM {t}) AS full_count, (SELECT COUNT(*) FROM {t} WHERE _seq % 2 = 0) AS part_count"
-    for e, t in (("users", "b_users"), ("transactions", "b_tx"), ("transaction_details", "b_details")))
+SKIP_FORCE = " UNION ALL ".join(
+    _common("bronze", "b", f"'{step}' AS step,", mark) for step, mark in (("first", ""), ("skipped", ""), ("forced", "x")))
+
+# Text landings: places count all lines, the broken ones do not become rows.
+_TX_BROKEN = "CAST(substr(transaction_id, 2) AS BIGINT) % 71 = 0 OR CAST(substr(transaction_id, 2) AS BIGINT) % 73 = 0"
+_DETAILS_BROKEN = "_seq % 67 = 0 OR _seq % 61 = 0"
+LANDED_TX = f"""
+SELECT transaction_id, user_id, amount, status, created_at, place AS _seq
+FROM (SELECT *, row_number() OVER (ORDER BY transaction_id, _seq) - 1 AS place FROM b_tx) WHERE NOT ({_TX_BROKEN})
+"""
+LANDED_DETAILS = f"""
+SELECT detail_id, transaction_id, payment_method, channel, processing_time_ms, place AS _seq
+FROM (SELECT *, row_number() OVER (ORDER BY detail_id, _seq, processing_time_ms NULLS FIRST, channel NULLS FIRST,
+                                   payment_method NULLS FIRST) - 1 AS place FROM b_details) WHERE NOT ({_DETAILS_BROKEN})
+"""
+TEXT_REJECTS = f"""
+{SILVER_REJECTS}
+UNION ALL SELECT 'transactions', 'malformed_record', (SELECT COUNT(*) FROM all_tx WHERE {_TX_BROKEN})
+UNION ALL SELECT 'transaction_details', 'malformed_record', (SELECT COUNT(*) FROM all_details WHERE {_DETAILS_BROKEN})
+"""
+
+
+def _text_rejects() -> str:
+    whole, kept = _prelude(), _prelude(f"NOT ({_TX_BROKEN})", f"NOT ({_DETAILS_BROKEN})")
+    cut = lambda name, after: whole[whole.index(f"{name} AS ("):whole.index(f"{after} AS (")].replace(name, f"all_{name[2:]}", 1)
+    return kept + ", " + cut("b_tx", "b_details") + cut("b_details", "d_users").rstrip().rstrip(",") + TEXT_REJECTS
+
+
+SORTED_COUNTS = """
+SELECT 'users' AS table_name, COUNT(*) AS reported, COUNT(*) AS stored FROM s_users
+UNION ALL SELECT 'transactions', COUNT(*), COUNT(*) FROM s_tx
+UNION ALL SELECT 'gold_user_metrics', COUNT(*), COUNT(*) FROM s_users
+"""
+
+FINE_PER_USER = """
+SELECT u.user_id, ROUND(SUM(t.amount), 6) AS total_amount, ROUND(AVG(t.amount), 6) AS avg_amount
+FROM s_users u LEFT JOIN s_tx t ON u.user_id = t.user_id GROUP BY u.user_id
+"""
+FINE_PER_CHANNEL = """
+SELECT td.channel, ROUND(SUM(t.amount), 3) AS total_amount, ROUND(AVG(t.amount), 6) AS avg_amount
+FROM s_tx t JOIN s_details td ON t.transaction_id = td.transaction_id GROUP BY td.channel
+"""
+_SEVENTHS = _prelude(amount="amount / 7")
+
+
+def _ordered(body: str, order: str) -> str:
+    return _q(f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({body})")
+
+
+def _gate(report: str, name: str) -> str:
+    return f"""
+SELECT '{name}' AS report, total_checks, passed, failed, pass_rate, failed = 0 AS passed_gate,
+       CASE WHEN failed > 0 THEN 'Quality checks fallaron: ' || failed || '/' || total_checks || '. Pass rate: '
+            || CAST(pass_rate AS VARCHAR) || '%' END AS message
+FROM (SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE status = 'PASS') AS passed,
+             COUNT(*) FILTER (WHERE status = 'FAIL') AS failed,
+             ROUND(100.0::DOUBLE * COUNT(*) FILTER (WHERE status = 'PASS') / COUNT(*), 1) AS pass_rate FROM {report})
+"""
+
 
-SKIP_FORCE = f"""
-SELECT step, entity, CASE WHEN step = 'forced' THEN part_count ELSE full_count END AS row_count
-FROM ({_BRONZE_COUNTS}) CROSS JOIN (VALUES ('first'), ('skipped'), ('forced')) AS s(step)
+QUALITY_GATE = f"""
+{REPORT_SILVER.replace(', m AS (', ', m1 AS (').replace('FROM m', 'FROM m1').replace('report AS (', 'report1 AS (')}
+{REPORT_RAW.replace(', m AS (', ', m2 AS (').replace('FROM m', 'FROM m2').replace('report AS (', 'report2 AS (')}
+, report3 AS (SELECT entity, "check", CASE WHEN "check" = 'freshness' THEN 'FAIL' ELSE status END AS status FROM report1)
+{_gate('report1', 'silver')} UNION ALL {_gate('report2', 'raw')} UNION ALL {_gate('report3', 'stale')}
 """
 
 FILL_UNKNOWN = f"""
@@ -472,7 +554,15 @@ WHERE payment_method IN ('card', 'pse', 'cash', 'nequi', 'daviplata', 'unknown')
 
 SQL: dict[str, str] = {
     "ingest_bronze": _q("SELECT * FROM b_tx"),
+    "ingest_bronze_users": _q("SELECT * FROM b_users"),
+    "ingest_bronze_details": _q("SELECT * FROM b_details"),
     "layer_roundtrip": _q("SELECT * FROM s_users"),
+    "layer_roundtrip_transactions": _q("SELECT * FROM s_tx"),
+    "layer_roundtrip_details": _q("SELECT * FROM s_details"),
+    "landed_json_transactions": _q(LANDED_TX),
+    "landed_csv_details": _q(LANDED_DETAILS),
+    "text_rejects": _text_rejects(),
+    "sorted_write_counts": _q(SORTED_COUNTS),
     "incremental_new_dates": _q(INCREMENTAL),
     "rerun_with_empty_entity": _q(RERUN_EMPTY),
     "all_rejected_day": _q(ALL_REJECTED),
@@ -513,6 +603,12 @@ SQL: dict[str, str] = {
     "gold_payment_method_metrics_sql": _q(GOLD_PAYMENT),
     "gold_summary_sql": _q(GOLD_SUMMARY),
     "stored_gold_user_metrics": _q(GOLD_USER_METRICS),
+    "stored_order_user_metrics": _ordered(GOLD_USER_METRICS, "total_amount DESC NULLS LAST, user_id"),
+    "stored_order_channel": _ordered(GOLD_CHANNEL, "total_amount DESC, channel"),
+    "stored_order_payment_method": _ordered(GOLD_PAYMENT, "total_transactions DESC, payment_method"),
+    "fine_amounts_per_user": _SEVENTHS + FINE_PER_USER,
+    "fine_amounts_per_channel": _SEVENTHS + FINE_PER_CHANNEL,
+    "quality_gate": _q(QUALITY_GATE),
     "stored_quality_report": _q(REPORT_SILVER + "SELECT * FROM report"),
     "null_checks": _q(NULL_CHECKS),
     "duplicate_count": _q(DUPLICATE_COUNT),

@@ -5,8 +5,7 @@ medallion layout: the next layer's plan starts from Parquet (fresh
 statistics for AQE, no lineage to recompute after a lost executor), and a
 layer can be re-run on its own for a given ``run_date``.
 
-Row counts come from a metric observed at the top of each write, so no extra
-``count()`` job is run.
+Row counts are those of the files written (``sources.layers``).
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.constants import ENTITIES
+from ledgerlake.operators.position import file_position, has_file_positions
 from ledgerlake.plans.gold import gold_from_facts, transaction_facts, user_activity
 from ledgerlake.plans.quality import assert_quality, quality_report, quality_summary, write_report_csv
 from ledgerlake.plans.silver import (
@@ -26,29 +26,56 @@ from ledgerlake.plans.silver import (
     clean_users,
     silver_rejects,
 )
+from ledgerlake.schemas import SEQ
+from ledgerlake.session import scratch_root
 from ledgerlake.sources.layers import (
+    delete_folder,
     layer_path,
     partition_exists,
     read_layer,
+    read_manifest,
+    write_layer,
     write_layer_counted,
 )
-from ledgerlake.schemas import SEQ
+from ledgerlake.sources.text import TextSource, malformed, well_formed
 
 
 def with_arrival_order(df: DataFrame) -> DataFrame:
     """Add ``_seq`` (arrival order) when the source has none.
 
-    It is materialised in Bronze once, so later layers see a fixed order
-    even if the source is re-read with a different split.
+    Rows read from files arrive in the order of their files and of their places there, however
+    the scan is split; other sources in the order of their partitions. It is materialised in Bronze once.
     """
     if SEQ in df.columns:
         return df
+    if has_file_positions(df):
+        return file_position(df, SEQ, start=0)
     return df.withColumn(SEQ, F.monotonically_increasing_id())
 
 
+def malformed_table(entity: str) -> str:
+    """Bronze table of the lines of a text source that did not fit the schema."""
+    return f"{entity}_malformed"
+
+
+def _land(spark: SparkSession, source: DataFrame | TextSource, root: str, entity: str, run_date: str) -> int:
+    """Write one source as the ``run_date`` partition of Bronze, malformed lines beside it; the rows landed."""
+    bad = malformed_table(entity)
+    if isinstance(source, TextSource):
+        folder = scratch_root(spark, "lines")
+        lines = source.load(spark, schemas.BRONZE[entity], folder)
+        write_layer(malformed(lines), root, "bronze", bad, run_date)
+        _, rows = write_layer_counted(well_formed(lines), root, "bronze", entity, run_date)
+        delete_folder(spark, folder)
+        return rows
+    if partition_exists(spark, root, "bronze", bad, run_date):  # of an earlier landing from text
+        write_layer(spark.createDataFrame([], f"line string, {SEQ} long"), root, "bronze", bad, run_date)
+    return write_layer_counted(with_arrival_order(source), root, "bronze", entity, run_date)[1]
+
+
 def ingest_bronze(
     spark: SparkSession,
-    sources: dict[str, DataFrame],
+    sources: dict[str, DataFrame | TextSource],
     root: str,
     run_date: str | None = None,
     force: bool = False,
@@ -57,15 +84,14 @@ def ingest_bronze(
 
     Incremental: when every entity already has that partition and ``force``
     is false, nothing is read or written. Any DataFrame is a valid source
-    (``spark.read.csv/json/parquet/jdbc`` ...).
+    (``spark.read.parquet/jdbc`` ...); a ``TextSource`` names CSV or JSON text, whose
+    malformed lines go to ``bronze/<entity>_malformed``.
     """
     run_date = run_date or date.today().isoformat()
     paths = {e: layer_path(root, "bronze", e) for e in sources}
     if not force and all(partition_exists(spark, root, "bronze", e, run_date) for e in sources):
         return {"paths": paths, "counts": {"skipped": True}, "incremental": True}
-    counts = {}
-    for entity, df in sources.items():
-        _, counts[entity] = write_layer_counted(with_arrival_order(df), root, "bronze", entity, run_date)
+    counts = {e: _land(spark, source, root, e, run_date) for e, source in sources.items()}
     return {"paths": paths, "counts": counts, "incremental": False}
 
 
@@ -74,6 +100,12 @@ def load_layer(spark: SparkSession, root: str, layer: str, run_date: str) -> dic
     return {e: read_layer(spark, root, layer, e, run_date, table_schemas[e]) for e in ENTITIES}
 
 
+def malformed_counts(spark: SparkSession, root: str, run_date: str) -> dict[str, int]:
+    """Malformed lines per entity that was landed from text on ``run_date`` (from the manifests)."""
+    found = {e: read_manifest(spark, root, "bronze", malformed_table(e), run_date) for e in ENTITIES}
+    return {e: m.rows for e, m in found.items() if m is not None}
+
+
 def run_silver(
     spark: SparkSession,
     root: str,
@@ -95,7 +127,8 @@ def run_silver(
         clean_transaction_details(bronze["transaction_details"], tx, processed_at, null_policy),
         root, "silver", "transaction_details", run_date)
     # Rows removed per rule: a stored table (a few rows), exact whatever tasks were repeated.
-    write_layer_counted(silver_rejects(bronze, users, tx, null_policy), root, "silver", "rejects", run_date, bounded=True)
+    write_layer(silver_rejects(bronze, users, tx, null_policy, malformed_counts(spark, root, run_date)),
+                root, "silver", "rejects", run_date, bounded=True)
     rejects: dict[str, dict] = {e: {} for e in ENTITIES}
     for r in read_layer(spark, root, "silver", "rejects", run_date).collect():
         rejects[r["entity"]][r["rule"]] = int(r["rejected"])

@@ -238,14 +238,21 @@ class QualityGateError(ValueError):
     """Raised when a quality report contains a failed check."""
 
 
+def gate_result(report: DataFrame) -> DataFrame:
+    """One row: the summary with ``passed_gate`` and ``message`` (NULL where every check passed)."""
+    summary = quality_summary(report)
+    message = F.expr(_fmt(MSG_GATE, failed="failed", total="total_checks", rate="pass_rate"))
+    return summary.select("*", (F.col("failed") == 0).alias("passed_gate"),
+                          F.when(F.col("failed") > 0, message).alias("message"))
+
+
 def assert_quality(report: DataFrame) -> dict:
     """Fail the run if any check failed; return the summary otherwise."""
-    row = quality_summary(report).first()
-    summary = row.asDict() if row is not None else {"total_checks": 0, "passed": 0, "failed": 0, "pass_rate": 0.0}
-    if summary["failed"] > 0:
-        raise QualityGateError(MSG_GATE.format(
-            failed=summary["failed"], total=summary["total_checks"], rate=summary["pass_rate"]))
-    return summary
+    result = gate_result(report).first().asDict()
+    if not result.pop("passed_gate"):
+        raise QualityGateError(result["message"])
+    del result["message"]
+    return result
 
 
 def write_report_csv(report: DataFrame, path: str) -> str:

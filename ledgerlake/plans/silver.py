@@ -200,6 +200,7 @@ _COPIES = "_copies"
 _ROWS = "_rows"
 _REMOVED = "_removed"
 
+MALFORMED_RULE = "malformed_record"
 USER_RULES = ("missing_required_field",)
 TX_RULES = ("amount_not_positive", "invalid_status", "unknown_user")
 DETAIL_RULES = ("unknown_transaction", "invalid_payment_method", "invalid_channel",
@@ -211,9 +212,13 @@ def silver_rejects(
     silver_users: DataFrame,
     silver_transactions: DataFrame,
     null_policy: str = "drop",
+    malformed: dict[str, int] | None = None,
 ) -> DataFrame:
     """Rows removed per entity and rule: (entity, rule, rejected).
 
+    ``malformed`` gives the lines per entity that never became rows (text sources); they
+    are a rule of their own, ``malformed_record``.
+
     A row is charged to the first rule it fails, in the order the cleaning
     applies them; ``duplicate_key`` counts the copies removed by keep-first.
     The row rules are evaluated per row; rows are then counted per
@@ -250,9 +255,13 @@ def silver_rejects(
     d = d.withColumn(_RULE, F.when(~F.col("_ref_ok"), F.lit("unknown_transaction")).otherwise(F.col(_PRE)))
 
     weighted = {"weight_col": _ROWS, "removed_col": _REMOVED}
-    return (reject_table("users", u, _RULE, USER_RULES, _COPIES)
-            .unionByName(reject_table("transactions", t, _RULE, TX_RULES, **weighted))
-            .unionByName(reject_table("transaction_details", d, _RULE, DETAIL_RULES, **weighted)))
+    out = (reject_table("users", u, _RULE, USER_RULES, _COPIES)
+           .unionByName(reject_table("transactions", t, _RULE, TX_RULES, **weighted))
+           .unionByName(reject_table("transaction_details", d, _RULE, DETAIL_RULES, **weighted)))
+    if malformed:
+        lines = [(e, MALFORMED_RULE, n) for e, n in malformed.items()]
+        out = out.unionByName(u.sparkSession.createDataFrame(lines, out.schema))
+    return out
 
 
 def _per_key(df: DataFrame, key: str) -> DataFrame:

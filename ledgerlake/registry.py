@@ -25,10 +25,11 @@ from ledgerlake.operators.integrity import orphans, require_reference
 from ledgerlake.operators.rules import require_in, require_positive
 from ledgerlake.plans import gold, quality, silver
 from ledgerlake.plans import sql as gold_sql
-from ledgerlake.plans.medallion import ingest_bronze, read_gold, run_medallion
+from ledgerlake.operators.position import file_position
+from ledgerlake.plans.medallion import gold_order, ingest_bronze, read_gold, run_medallion, run_silver
 from ledgerlake.session import scratch_root
-from ledgerlake.sources.fixtures import bronze_sources
-from ledgerlake.sources.layers import read_layer, write_layer
+from ledgerlake.sources.fixtures import bronze_sources, details_csv, transactions_json
+from ledgerlake.sources.layers import read_layer, write_layer, write_layer_counted
 from ledgerlake.streaming.incremental import ingest_new_dates
 
 RUN_DATE = "2024-01-31"
@@ -51,23 +52,48 @@ def _silver(spark: SparkSession, sf_dir: str, null_policy: str = "drop") -> dict
 
 # --------------------------------------------------------------------------- store
 
-def q_ingest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_root(spark, "ingest")
-    ingest_bronze(spark, _bronze(spark, sf_dir), root, RUN_DATE)
-    return read_layer(spark, root, "bronze", "transactions", RUN_DATE, schemas.BRONZE["transactions"])
+def q_ingest_bronze(entity: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_root(spark, "ingest")
+        ingest_bronze(spark, _bronze(spark, sf_dir), root, RUN_DATE)
+        return read_layer(spark, root, "bronze", entity, RUN_DATE, schemas.BRONZE[entity])
+    return run
 
 
-def q_layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_layer_roundtrip(entity: str) -> Query:
     """Write day 1 (stale), day 2, rewrite day 1; day 1 must hold only the rewrite."""
-    root = scratch_root(spark, "roundtrip")
-    bronze = _bronze(spark, sf_dir)
-    stale = silver.clean_users(bronze["users"], "stale")
-    fresh = silver.clean_users(bronze["users"], PROCESSED_AT)
-    write_layer(stale, root, "silver", "users", "2024-01-30")
-    write_layer(fresh, root, "silver", "users", RUN_DATE)
-    write_layer(fresh, root, "silver", "users", "2024-01-30")
-    day1 = read_layer(spark, root, "silver", "users", "2024-01-30", schemas.SILVER["users"])
-    return day1
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_root(spark, "roundtrip")
+        bronze = _bronze(spark, sf_dir)
+        stale = silver.build_silver(bronze, "stale")[entity]
+        fresh = silver.build_silver(bronze, PROCESSED_AT)[entity]
+        write_layer(stale, root, "silver", entity, "2024-01-30")
+        write_layer(fresh, root, "silver", entity, RUN_DATE)
+        write_layer(fresh, root, "silver", entity, "2024-01-30")
+        return read_layer(spark, root, "silver", entity, "2024-01-30", schemas.SILVER[entity])
+    return run
+
+
+# One form for the rows of all three Bronze tables: id, three texts, a number, the arrival order.
+_COMMON = {
+    "users": ("user_id", "name", "email", "created_at", "CAST(NULL AS DOUBLE)"),
+    "transactions": ("transaction_id", "user_id", "status", "created_at", "amount"),
+    "transaction_details": ("detail_id", "transaction_id", "payment_method", "channel", "CAST(processing_time_ms AS DOUBLE)"),
+}
+
+
+def _common_rows(spark: SparkSession, root: str, layer: str, **labels: str) -> DataFrame:
+    """All rows of the three tables of a stored layer, in their common form."""
+    out = None
+    for entity, schema in (schemas.BRONZE if layer == "bronze" else schemas.SILVER).items():
+        seq = schemas.SEQ if layer == "bronze" else "CAST(NULL AS BIGINT)"
+        exprs = dict(zip(("id", "text_1", "text_2", "text_3", "number", "arrival"), (*_COMMON[entity], seq)))
+        exprs["text_3"] = f"CAST({exprs['text_3']} AS STRING)"
+        part = read_layer(spark, root, layer, entity, RUN_DATE, schema).selectExpr(
+            *[f"'{v}' AS {k}" for k, v in labels.items()], f"'{layer}' AS layer", f"'{entity}' AS entity",
+            *[f"{sql} AS {name}" for name, sql in exprs.items()])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_incremental_new_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,21 +114,14 @@ def q_incremental_new_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rerun_with_empty_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A forced re-run whose details source is empty replaces the stored day; row counts of the layers."""
+    """A forced re-run whose details source is empty replaces the stored day; all rows of Bronze and Silver."""
     root = scratch_root(spark, "rerun")
     bronze = dict(_bronze(spark, sf_dir))
     args = {"as_of": AS_OF, "processed_at": PROCESSED_AT, "checked_at": CHECKED_AT}
     run_medallion(spark, bronze, root, RUN_DATE, **args)
     bronze["transaction_details"] = bronze["transaction_details"].limit(0)
     run_medallion(spark, bronze, root, RUN_DATE, force=True, **args)
-    out = None
-    for layer, tables in (("bronze", schemas.BRONZE), ("silver", schemas.SILVER)):
-        for entity, schema in tables.items():
-            part = read_layer(spark, root, layer, entity, RUN_DATE, schema).agg(
-                F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(layer).alias("layer"), F.lit(entity).alias("entity"), "row_count")
-            out = part if out is None else out.unionByName(part)
-    return out
+    return _common_rows(spark, root, "bronze").unionByName(_common_rows(spark, root, "silver"))
 
 
 def q_all_rejected_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,17 +134,63 @@ def q_all_rejected_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_skip_and_force(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second load of a landed day is skipped; with ``force`` it replaces the day. Bronze rows after each."""
-    root = scratch_root(spark, "force")
+    """A second load of a landed day is skipped; with ``force`` it replaces the day. All stored rows after each.
+
+    The second source is the whole one with its ids marked. Each step is a copy of its own, so
+    that its rows can still be read.
+    """
     bronze = _bronze(spark, sf_dir)
-    fewer = {e: df.where(F.col(schemas.SEQ) % 2 == 0) for e, df in bronze.items()}
+    marked = {e: df.withColumn(df.columns[0], F.concat(F.col(df.columns[0]), F.lit("x"))) for e, df in bronze.items()}
+    out = None
+    for step, loads in (("first", ((bronze, False),)), ("skipped", ((bronze, False), (marked, False))),
+                        ("forced", ((bronze, False), (marked, False), (marked, True)))):
+        root = scratch_root(spark, "force")
+        for source, force in loads:
+            ingest_bronze(spark, source, root, RUN_DATE, force)
+        rows = _common_rows(spark, root, "bronze", step=step)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _landed_text(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a store whose transactions came as JSON lines and whose details came as CSV, some of them broken."""
+    root, text = scratch_root(spark, "text"), scratch_root(spark, "text-in")
+    bronze = _bronze(spark, sf_dir)
+    ingest_bronze(spark, {
+        "users": bronze["users"],
+        "transactions": transactions_json(bronze["transactions"], f"{text}/transactions"),
+        "transaction_details": details_csv(bronze["transaction_details"], f"{text}/details")}, root, RUN_DATE)
+    return root
+
+
+def q_landed_text(entity: str) -> Query:
+    """Bronze rows of an entity landed from text, with their place of arrival; malformed lines are not among them."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return read_layer(spark, _landed_text(spark, sf_dir), "bronze", entity, RUN_DATE, schemas.BRONZE[entity])
+    return run
+
+
+def q_text_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of a day landed from text: malformed lines are a rule of their own."""
+    root = _landed_text(spark, sf_dir)
+    run_silver(spark, root, RUN_DATE, PROCESSED_AT)
+    return read_layer(spark, root, "silver", "rejects", RUN_DATE)
+
+
+def q_sorted_write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a sorted write of unsorted frames reports, beside the rows read back; (table, reported, stored)."""
+    root = scratch_root(spark, "sorted")
+    tables = _silver(spark, sf_dir)
+    frames = {"users": (tables["users"], ["email", "user_id"]),
+              "transactions": (tables["transactions"], ["amount", "transaction_id"]),
+              "gold_user_metrics": (gold.gold_user_metrics(tables["users"], tables["transactions"]), None)}
     out = None
-    for step, source, force in (("first", bronze, False), ("skipped", fewer, False), ("forced", fewer, True)):
-        ingest_bronze(spark, source, root, RUN_DATE, force)
-        for entity, schema in schemas.BRONZE.items():
-            n = read_layer(spark, root, "bronze", entity, RUN_DATE, schema).count()
-            row = spark.createDataFrame([(step, entity, n)], "step string, entity string, row_count long")
-            out = row if out is None else out.unionByName(row)
+    for name, (df, order) in frames.items():
+        order = gold_order(name) if order is None else [F.col(c) for c in order]
+        _, reported = write_layer_counted(df, root, "sorted", name, RUN_DATE, order)
+        row = read_layer(spark, root, "sorted", name, RUN_DATE, df.schema).agg(F.count(F.lit(1)).alias("stored")).select(
+            F.lit(name).alias("table_name"), F.lit(reported).cast("long").alias("reported"), "stored")
+        out = row if out is None else out.unionByName(row)
     return out
 
 
@@ -268,6 +333,32 @@ def q_stored_gold_user_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gold(spark, root, "gold_user_metrics", RUN_DATE)
 
 
+def q_stored_order(name: str) -> Query:
+    """A Gold table as stored by the whole job, each row with its place in the stored files."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, _ = _stored_run(spark, sf_dir)
+        return file_position(read_gold(spark, root, name, RUN_DATE))
+    return run
+
+
+def _sevenths(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Bronze whose amounts are sevenths: doubles with as many decimals as they have room for."""
+    bronze = dict(_bronze(spark, sf_dir))
+    bronze["transactions"] = bronze["transactions"].withColumn("amount", F.col("amount") / 7)
+    return bronze
+
+
+def q_fine_amounts_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and averages of amounts with many decimals, to six decimals."""
+    m = gold.gold_from_bronze(_sevenths(spark, sf_dir))["gold_user_metrics"]
+    return m.select("user_id", F.round("total_amount", 6).alias("total_amount"), F.round("avg_amount", 6).alias("avg_amount"))
+
+
+def q_fine_amounts_per_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = gold.gold_from_bronze(_sevenths(spark, sf_dir))["gold_channel_metrics"]
+    return m.select("channel", F.round("total_amount", 3).alias("total_amount"), F.round("avg_amount", 6).alias("avg_amount"))
+
+
 def q_stored_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job through the store; the CSV quality report read back."""
     _, result = _stored_run(spark, sf_dir)
@@ -317,9 +408,34 @@ def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_summary(_report_raw(spark, sf_dir))
 
 
+def q_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's outcome and message for a report that passes (Silver), one that is stale, and one that fails (raw)."""
+    b = _bronze(spark, sf_dir)
+    s = silver.build_silver(b, PROCESSED_AT)
+    reports = {
+        "silver": _report_silver(spark, sf_dir),
+        "stale": quality.quality_report(s["users"], s["transactions"], s["transaction_details"],
+                                        b["transactions"], b["transaction_details"], AS_OF_LATE, CHECKED_AT),
+        "raw": _report_raw(spark, sf_dir),
+    }
+    out = None
+    for name, report in reports.items():
+        row = quality.gate_result(report).select(F.lit(name).alias("report"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 QUERIES: dict[str, Query] = {
-    "ingest_bronze": q_ingest_bronze,
-    "layer_roundtrip": q_layer_roundtrip,
+    "ingest_bronze": q_ingest_bronze("transactions"),
+    "ingest_bronze_users": q_ingest_bronze("users"),
+    "ingest_bronze_details": q_ingest_bronze("transaction_details"),
+    "layer_roundtrip": q_layer_roundtrip("users"),
+    "layer_roundtrip_transactions": q_layer_roundtrip("transactions"),
+    "layer_roundtrip_details": q_layer_roundtrip("transaction_details"),
+    "landed_json_transactions": q_landed_text("transactions"),
+    "landed_csv_details": q_landed_text("transaction_details"),
+    "text_rejects": q_text_rejects,
+    "sorted_write_counts": q_sorted_write_counts,
     "incremental_new_dates": q_incremental_new_dates,
     "rerun_with_empty_entity": q_rerun_with_empty_entity,
     "all_rejected_day": q_all_rejected_day,
@@ -357,7 +473,13 @@ QUERIES: dict[str, Query] = {
     "gold_payment_method_metrics_sql": q_gold_sql("gold_payment_method_metrics"),
     "gold_summary_sql": q_gold_sql("gold_summary"),
     "stored_gold_user_metrics": q_stored_gold_user_metrics,
+    "stored_order_user_metrics": q_stored_order("gold_user_metrics"),
+    "stored_order_channel": q_stored_order("gold_channel_metrics"),
+    "stored_order_payment_method": q_stored_order("gold_payment_method_metrics"),
     "stored_quality_report": q_stored_quality_report,
+    "fine_amounts_per_user": q_fine_amounts_per_user,
+    "fine_amounts_per_channel": q_fine_amounts_per_channel,
+    "quality_gate": q_quality_gate,
     "null_checks": q_null_checks,
     "duplicate_count": q_duplicate_count,
     "traceability": q_traceability,

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.schemas import SEQ
 from ledgerlake.sources.tables import LazyFrames, read_table
+from ledgerlake.sources.text import TextSource
 
 # The Bronze derivation of FIXTURES.md, column by column.
 USERS_COPIES = "explode(IF(c_custkey % 29 = 0, array(0L, 1L), array(0L)))"
@@ -40,7 +41,7 @@ TX = {
                "WHEN o_orderkey % 6 IN (0, 5) THEN 'success' "
                "WHEN o_orderkey % 6 = 1 THEN 'failed' "
                "WHEN o_orderkey % 6 = 2 THEN 'SUCCESS' "
-               "WHEN o_orderkey % 6 = 3 THEN ' Failed ' "
+               "WHEN o_orderkey % 6 = 3 THEN '\\tFailed\\u00a0\\n' "
                "ELSE 'FAILED' END"),
     "created_at": "replace(CAST(o_orderdate AS STRING), ' ', 'T')",
 }
@@ -51,7 +52,7 @@ DETAILS = {
     "payment_method": ("CASE WHEN l_partkey % 89 = 0 THEN NULL "
                        "WHEN l_suppkey % 6 = 0 THEN 'card' "
                        "WHEN l_suppkey % 6 = 1 THEN 'PSE' "
-                       "WHEN l_suppkey % 6 = 2 THEN ' cash' "
+                       "WHEN l_suppkey % 6 = 2 THEN '\\t\\u2003cash' "
                        "WHEN l_suppkey % 6 = 3 THEN 'Nequi' "
                        "WHEN l_suppkey % 6 = 4 THEN 'daviplata' "
                        "ELSE 'crypto' END"),
@@ -99,3 +100,32 @@ def bronze_sources(spark: SparkSession, sf_dir: str) -> LazyFrames:
         "transactions": lambda: bronze_transactions(read_table(spark, sf_dir, "orders")),
         "transaction_details": lambda: bronze_transaction_details(read_table(spark, sf_dir, "lineitem")),
     })
+
+
+# Which arriving lines of the text sources are broken, and how (see FIXTURES.md).
+_TX_NUMBER = "CAST(substr(transaction_id, 2) AS BIGINT)"
+TRUNCATED_TX, MISTYPED_TX = f"{_TX_NUMBER} % 71 = 0", f"{_TX_NUMBER} % 73 = 0"
+SHORT_DETAIL, MISTYPED_DETAIL = f"{SEQ} % 67 = 0", f"{SEQ} % 61 = 0"
+TX_ORDER = ("transaction_id", SEQ)
+DETAIL_ORDER = ("detail_id", SEQ, "processing_time_ms", "channel", "payment_method")
+UNTRIMMED = "map('ignoreLeadingWhiteSpace', 'false', 'ignoreTrailingWhiteSpace', 'false')"
+
+
+def transactions_json(transactions: DataFrame, path: str) -> TextSource:
+    """The transactions as JSON lines in arrival order; some are cut off, some hold text as amount."""
+    whole = "to_json(struct(transaction_id, user_id, amount, status, created_at))"
+    mistyped = "concat('{\"transaction_id\":\"', transaction_id, '\",\"amount\":\"much\"}')"
+    (transactions.orderBy(*TX_ORDER).selectExpr(
+        f"CASE WHEN {TRUNCATED_TX} THEN substr({whole}, 1, 20) WHEN {MISTYPED_TX} THEN {mistyped} ELSE {whole} END AS value")
+        .write.text(path))
+    return TextSource("json", path)
+
+
+def details_csv(details: DataFrame, path: str) -> TextSource:
+    """The details as CSV lines in arrival order; some lack fields, some hold text as milliseconds."""
+    whole = f"to_csv(struct(detail_id, transaction_id, payment_method, channel, processing_time_ms), {UNTRIMMED})"
+    (details.orderBy(*DETAIL_ORDER).selectExpr(
+        f"CASE WHEN {SHORT_DETAIL} THEN concat(detail_id, ',', transaction_id) "
+        f"WHEN {MISTYPED_DETAIL} THEN concat(detail_id, ',', transaction_id, ',card,web,soon') ELSE {whole} END AS value")
+        .write.text(path))
+    return TextSource("csv", path, {"header": "false"})

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import DATE
-from ledgerlake.sources.layers import layer_path, partition_exists, stored_dates
+from ledgerlake.sources.layers import forget_versions, layer_path, partition_exists, stored_dates
 
 
 def already_processed(spark: SparkSession, root: str, run_date: str, entities: Iterable[str],
@@ -54,8 +54,8 @@ def ingest_new_dates(
 
     ``force``: True writes every date again, an iterable of dates writes those
     again. A first pass over the date column alone counts rows per date (one
-    number per date reaches the driver); the second reads only the dates to
-    write, as a literal filter that reaches the scan. Rows of dates already
+    number per date reaches the driver); the second keeps only the dates to write,
+    by a literal filter (it reaches the scan where the date is a stored column). Rows of dates already
     stored and rows without a date are not written but counted in the result.
     """
     day = F.col(date_col).cast("date")
@@ -75,5 +75,7 @@ def ingest_new_dates(
         (rows.hint("rebalance", DATE)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(DATE).parquet(layer_path(root, layer, entity)))
+        for d in dates:
+            forget_versions(spark, root, layer, entity, d)
     return IngestResult({d: per_date[d] for d in dates},
                         {d: n for d, n in sorted(per_date.items()) if d not in dates}, null_rows)

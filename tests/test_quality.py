@@ -79,3 +79,19 @@ def test_orphan_rows_counts_rows_not_keys(spark):
     parent = spark.createDataFrame([("u1",), (None,)], "user_id string")
     assert quality.orphan_rows(child, parent, "user_id").first().orphan_rows == 5
     assert quality.orphan_rows(child.where("user_id = 'u1'"), parent, "user_id").first().orphan_rows == 0
+
+
+def test_gate_result_tells_outcome_and_message(spark):
+    from ledgerlake.plans.quality import gate_result
+    from ledgerlake.schemas import QUALITY_REPORT
+
+    def gate(*statuses):
+        rows = [("users", f"c{i}", s, "", "") for i, s in enumerate(statuses)]
+        return gate_result(spark.createDataFrame(rows, QUALITY_REPORT)).first()
+
+    good = gate("PASS", "PASS")
+    assert good.passed_gate and good.message is None
+    bad = gate("PASS", "FAIL", "PASS")
+    assert not bad.passed_gate and bad.message == "Quality checks fallaron: 1/3. Pass rate: 66.7%"
+    none = gate()
+    assert none.passed_gate and none.pass_rate == 0.0
