@@ -108,24 +108,24 @@ def _counter(dim: str, value: str, what: str) -> str:
     return f"{dim}_{value}_{what}"
 
 
-def _known(dim: str) -> Column:
-    """The value of ``dim``; a value outside its domain fails the job instead of being left out of a table."""
-    value = F.col(dim)
-    return F.when(value.isin(*DOMAINS[dim]), value).otherwise(F.raise_error(F.concat(
-        F.lit(f"{dim} outside its domain (clean the details, or use dimension_metrics): "),
-        F.coalesce(value, F.lit("NULL")))).cast("string")).alias(dim)
+def _code_sql(dim: str) -> str:
+    """The place of a value in its domain; one outside it fails the job instead of being left out of a table."""
+    places = " ".join(f"WHEN {dim} = '{value}' THEN {i}" for i, value in enumerate(DOMAINS[dim]))
+    outside = f"raise_error(concat('{dim} outside its domain (clean the details, or use dimension_metrics): ', coalesce({dim}, 'NULL')))"
+    return f"CASE {places} ELSE CAST({outside} AS INT) END AS {dim}"
 
 
 def transaction_counters(details: DataFrame, dims: Sequence[str] = tuple(DOMAINS)) -> DataFrame:
     """One row per transaction_id: ``_n`` details, ``_ms_sum``, ``_ms_n``, and the same per value of ``dims``."""
-    aggs = [F.count(F.lit(1)).alias("_n"), F.sum(MS).alias("_ms_sum"), F.count(MS).alias("_ms_n")]
+    aggs = ["count(1) AS _n", f"sum({MS}) AS _ms_sum", f"count({MS}) AS _ms_n"]
     for dim in dims:
-        for value in DOMAINS[dim]:
-            here = F.col(dim) == value
-            aggs += [F.count_if(here).alias(_counter(dim, value, "n")),
-                     F.sum(F.when(here, F.col(MS))).alias(_counter(dim, value, "ms_sum")),
-                     F.count(F.when(here, F.col(MS))).alias(_counter(dim, value, "ms_n"))]
-    return details.select(TX, MS, *[_known(d) for d in dims]).groupBy(TX).agg(*aggs)
+        for i, value in enumerate(DOMAINS[dim]):
+            timed = f"CASE WHEN {dim} = {i} THEN {MS} END"
+            aggs += [f"count_if({dim} = {i}) AS {_counter(dim, value, 'n')}",
+                     f"sum({timed}) AS {_counter(dim, value, 'ms_sum')}",
+                     f"count({timed}) AS {_counter(dim, value, 'ms_n')}"]
+    coded = details.selectExpr(TX, MS, *map(_code_sql, dims))
+    return coded.groupBy(TX).agg(*map(F.expr, aggs))
 
 
 def transaction_facts(transactions: DataFrame, details: DataFrame, dims: Sequence[str] = tuple(DOMAINS)) -> DataFrame:
@@ -139,11 +139,10 @@ def transaction_facts(transactions: DataFrame, details: DataFrame, dims: Sequenc
 
 def per_value(facts: DataFrame, dim: str) -> DataFrame:
     """One row per (transaction, value of ``dim`` that its details have): a split of each fact row, no shuffle."""
-    cells = F.array(*[F.struct(
-        F.lit(value).alias(dim),
-        *[F.col(_counter(dim, value, what)).alias(f"_{what}") for what in ("n", "ms_sum", "ms_n")])
-        for value in DOMAINS[dim]])
-    split = facts.where(F.col("_n").isNotNull()).select(TX, "amount", "status", F.explode(cells).alias("_cell"))
+    cells = ", ".join(
+        f"named_struct('{dim}', '{value}', " + ", ".join(f"'_{w}', {_counter(dim, value, w)}" for w in ("n", "ms_sum", "ms_n")) + ")"
+        for value in DOMAINS[dim])
+    split = facts.where(F.col("_n").isNotNull()).selectExpr(TX, "amount", "status", f"explode(array({cells})) AS _cell")
     return split.select(TX, "amount", "status", "_cell.*").where(F.col("_n") > 0)
 
 
