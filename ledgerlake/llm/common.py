@@ -53,6 +53,24 @@ def discard(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+class Stages:
+    """The staged frames of one job, by label, to be deleted once a later stage replaces them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[str, list[str]] = {}
+
+    def put(self, df: DataFrame, label: str) -> DataFrame:
+        out, path = stage_at(df, label)
+        self._paths.setdefault(label, []).append(path)
+        return out
+
+    def drop(self, *labels: str) -> None:
+        """Delete what was staged under ``labels``: every frame that reads it must be stored by now."""
+        for label in labels:
+            discard(self.spark, *self._paths.pop(label, []))
+
+
 def finite(vector: str, most: float = float("inf")) -> Column:
     """Is the vector there, with every component given, finite and within ``most``?"""
     return F.coalesce(F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (

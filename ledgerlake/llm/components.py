@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import stage
+from ledgerlake.llm.common import Stages
 
 
 def _hook(edges: DataFrame, mins: DataFrame) -> DataFrame:
@@ -26,11 +26,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     """(node, component): the smallest node reachable over the links.
 
     Only nodes with a link to another node appear. Each half of a round stores
-    its edges and ends the search when they are stars; nothing but that answer
+    its edges, deletes those before and ends the search when they are stars; nothing but that answer
     reaches the driver. Rounds grow with the logarithm of the number of nodes.
     """
-    edges = stage(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-                  .filter("u <> v").distinct(), "cc")
+    stages = Stages(links.sparkSession)
+    edges = stages.put(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+                  .filter("u <> v").distinct(), "cc-0")
     for half in range(2 * max_rounds):
         if _is_star(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
@@ -38,12 +39,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         if half % 2 == 0:
             # Large star: neighbours above u go to the smallest of u and its neighbours.
             both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            mins = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-m")
+            mins = stages.put(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-m")
             star = _hook(both, mins).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
             # Small star: what is below u goes to the smallest of it, and so does u.
-            mins = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-m")
+            mins = stages.put(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-m")
             star = _hook(edges, mins).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(
                 mins.select("u", F.col("m").alias("v")))
-        edges = stage(star.distinct(), "cc")
+        edges = stages.put(star.distinct(), f"cc-{half + 1}")
+        stages.drop(f"cc-{half}", "cc-m")
     raise RuntimeError("components did not settle")

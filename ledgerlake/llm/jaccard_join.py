@@ -28,8 +28,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small_batches, stage, words
+from ledgerlake.llm.common import Stages, small_batches, words
 from ledgerlake.llm.components import components
+from ledgerlake.llm.url_filter import keep_listed
 
 BANDS, ROWS = 6, 4
 BUCKETS = 1 << 20
@@ -156,12 +157,16 @@ def _verify(k: int, num: int, den: int):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The (a, b) pairs of documents that link, tested on their whole texts."""
-    pairs = stage(pairs.distinct(), "pairs")
+def verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, stages: Stages) -> DataFrame:
+    """The (a, b) pairs of documents that link, tested on their whole texts.
+
+    Only texts of a pair are shuffled: a filter of bounded size takes the others out
+    first. Stores ``pairs``, ``pair-ids`` and ``pair-texts``.
+    """
+    pairs = stages.put(pairs.distinct(), "pairs")
+    ids = stages.put(pairs.select(F.col("a").alias("__id")).union(pairs.select("b")).distinct(), "pair-ids")
     texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__t")).filter("__t is not null")
-    some = stage(texts.join(pairs.select(F.col("a").alias("__id")).union(pairs.select("b")).distinct(),
-                            "__id", "left_semi"), "pair-texts")
+    some = stages.put(keep_listed(texts, "__id", ids), "pair-texts")
     first = pairs.join(some.select(F.col("__id").alias("a"), F.col("__t").alias("text_a")), "a")
     full = first.join(some.select(F.col("__id").alias("b"), F.col("__t").alias("text_b")).hint("merge"), "b")
     return full.select("a", "b", "text_a", "text_b").mapInPandas(_verify(k, num, den), "a long, b long")
@@ -178,43 +183,47 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
     if not 0 < num < den:
         raise ValueError("the threshold must lie between 0 and 1")
     small_batches(docs.sparkSession)
+    stages = Stages(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     heavy = frequent_buckets(docs, k)
-    sets = stage(docs.mapInPandas(_describe(k, num, den, heavy),
+    sets = stages.put(docs.mapInPandas(_describe(k, num, den, heavy),
                                   "doc_id long, n long, f1 long, f2 long, bands array<long>, lead array<long>"), "sets")
     same = ["n", "f1", "f2"]
-    classes = stage(sets.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("cls")), "classes")
+    classes = stages.put(sets.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("cls")), "classes")
     reps = sets.filter(F.size("lead") > 0).join(
         classes.withColumnRenamed("cls", "doc_id"), [*same, "doc_id"], "left_semi")
 
     # Groups of similar sets: links to the smallest class of each shared band.
     banded = reps.select(F.col("doc_id").alias("a"), F.posexplode("bands").alias("band", "key"))
-    leaders = stage(banded.groupBy("band", "key").agg(F.min("a").alias("b"), F.max("a").alias("z"))
+    leaders = stages.put(banded.groupBy("band", "key").agg(F.min("a").alias("b"), F.max("a").alias("z"))
                     .filter("b < z").select("band", "key", "b"), "leaders")
-    near = stage(verified(banded.join(leaders, ["band", "key"]).filter("a <> b").select("a", "b"),
-                          docs, k, num, den), "links")
+    near = stages.put(verified(banded.join(leaders, ["band", "key"]).filter("a <> b").select("a", "b"),
+                          docs, k, num, den, stages), "links")
     groups = components(near)
+    stages.drop("leaders", "pairs", "pair-ids", "pair-texts")
 
     # Token-group matrix over the leading tokens that more than one group holds.
-    grouped = stage(reps.select("doc_id", "n", "lead").join(groups, F.col("doc_id") == F.col("node"), "left").select(
+    grouped = stages.put(reps.select("doc_id", "n", "lead").join(groups, F.col("doc_id") == F.col("node"), "left").select(
         F.col("doc_id").alias("cls"), "n", F.coalesce("component", "doc_id").alias("grp"), "lead"), "grouped")
     tokens = grouped.select("cls", "n", "grp", F.explode("lead").alias("tok"))
-    shared = stage(tokens.groupBy("tok").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+    shared = stages.put(tokens.groupBy("tok").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
                    .filter("lo < hi").select("tok"), "shared-tokens")
-    member = stage(tokens.join(shared, "tok").distinct(), "matrix-members")
-    matrix = stage(member.groupBy("tok", F.col("grp").alias("g")).agg(
+    member = stages.put(tokens.join(shared, "tok").distinct(), "matrix-members")
+    matrix = stages.put(member.groupBy("tok", F.col("grp").alias("g")).agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max")), "matrix")
     fits = (F.col("n") * num <= F.col("n_max") * den) & (F.col("n_min") * num <= F.col("n") * den)
     # The overlap of q and the union of group g, bounded over the leading tokens; the smallest
     # fitting member has num/den of q's tokens.
-    opened = stage(member.join(matrix, "tok").filter((F.col("grp") > F.col("g")) & fits)
+    opened = stages.put(member.join(matrix, "tok").filter((F.col("grp") > F.col("g")) & fits)
                    .groupBy("cls", "n", "g").agg(F.count("*").alias("hits"))
                    .filter(F.col("hits") >= _hits(F.ceil(F.col("n") * num / den)))
                    .select("cls", "g"), "opened")
+    stages.drop("shared-tokens", "matrix-members", "matrix")
     # Opened groups: a member stays if the common leading tokens and all later ones could reach the
     # overlap that Jaccard num/den asks for. (What is common beyond the shorter lead lies after it.)
     lead = grouped.select("cls", "n", "grp", "lead")
-    q = stage(lead.join(opened, "cls").select(
+    openers = stages.put(opened.select("cls").distinct(), "openers")
+    q = stages.put(keep_listed(lead, "cls", openers).join(opened, "cls").select(
         F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("lead").alias("lead_a"), "g"), "open-queries")
     inside = lead.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("lead").alias("lead_b"),
                          F.col("grp").alias("g"))
@@ -225,7 +234,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
                      & (common >= _hits(F.least("n_a", "n_b")))
                      & ((common + later) * (num + den) >= (F.col("n_a") + F.col("n_b")) * num))
              .select("a", "b"))
-    far = stage(verified(pairs, docs, k, num, den), "links")
+    far = stages.put(verified(pairs, docs, k, num, den, stages), "links")
     found = components(far.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     known = sets.select("doc_id", *same).join(classes, same, "left").select(

@@ -21,7 +21,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPACES, UPPER, without
+from ledgerlake.llm.common import SPACES, UPPER, stage, without
 from ledgerlake.session import scratch_root
 
 MIN_KEY = 10
@@ -203,4 +203,4 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT, m
         if high is not None:
             part = part.filter(F.col("doc_id") <= high)
         store.add(part)
-    return remove_lines(docs, store.shared(), min_key)
+    return remove_lines(docs, stage(store.shared(), "shared-lines"), min_key)

@@ -116,6 +116,22 @@ def mark_listed(df: DataFrame, key: str, listed: DataFrame, max_blocks: int = MA
     return found.unionByName(passed.filter(~F.col("maybe_listed")).withColumn("listed", F.lit(False)))
 
 
+def keep_listed(df: DataFrame, key: str, listed: DataFrame, probes: int = PROBES) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is one of the stored, distinct keys of ``listed``.
+
+    The bounded filter takes most other rows out before anything is shuffled; a
+    merge join with the list removes the rest.
+    """
+    bloom, blocks = build_bloom(listed, key, listed.count(), probes=probes)
+    hit = F.lit(True)
+    for w, m in enumerate(_mask(F.col(key), probes)):
+        hit = hit & (F.col(f"__w{w}").bitwiseAND(m) == m)
+    passed = df.withColumn("__b", _block(F.col(key), blocks)).join(
+        F.broadcast(bloom), (F.col("__b") == F.col("__block")) & hit).select(*[F.col(f"`{c}`") for c in df.columns])
+    # An inner join (the keys are distinct): a semi-join would be moved below the filter by the optimizer.
+    return passed.join(listed.select(key).hint("merge"), key).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def listed_urls(pages: DataFrame, labels: list[str] = LISTED_LABELS) -> DataFrame:
     """Canonical URLs of the pages on a host with one of the listed labels."""
     return pages.filter(F.arrays_overlap(F.split(host_of(F.col("url")), r"\."), F.array(*map(F.lit, labels)))).select(

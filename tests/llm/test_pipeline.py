@@ -64,7 +64,7 @@ def test_pipeline_stages_keep_the_columns(spark):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
     df = registry.QUERIES[name](spark, SMOKE)
     cols = sorted(df.columns)
