@@ -77,6 +77,24 @@ def finite(vector: str, most: float = float("inf")) -> Column:
         F.abs(x) < most if most == float("inf") else F.abs(x) <= most)), F.lit(False))
 
 
+def label_sample(labels: DataFrame, label: Column, max_labelled: int) -> DataFrame:
+    """(__id, __label) of about ``max_labelled`` labelled documents, never more than twice as many.
+
+    Labels without a doc_id or a value are left out. A document counts once, however often it
+    is labelled: ``label`` aggregates its rows. Documents are taken by a hash of doc_id.
+    """
+    known = labels.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(
+        label.alias("__label")).filter("__label is not null")
+    share = min(1_000_000, max_labelled * 1_000_000 // max(1, known.count()))
+    return known.filter(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < share).limit(2 * max_labelled)
+
+
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(__id, __label, text) of the sampled documents, one row each (of several texts the smallest)."""
+    joined = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id"))
+    return joined.groupBy("__id", "__label").agg(F.min("text").alias("text"))
+
+
 def fold(text: Column) -> Column:
     """A-Z to lower case; every other character as it is."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -10,7 +10,9 @@ separator counts as a blank. Nothing else of the text is changed, so spans are
 character offsets of the original.
 
 Texts are matched against the index of a block of items, which each task gets
-as a few arrays of bounded size; a longer benchmark takes more passes.
+as a few arrays of bounded size; a longer benchmark takes more passes. A task searches
+texts in chunks of bounded size, gaps between them included, and counts common
+q-grams in slices, so neither a long item nor a q-gram that is everywhere takes more memory.
 """
 
 from __future__ import annotations
@@ -28,7 +30,9 @@ Q = 8
 RATE = 0.1  # edits per character of the item
 BLOCK_CHARS = 2_000_000  # item characters of one pass
 MASK_BITS = 22
-CHUNK = 200_000  # characters searched as one array (a longer text is one chunk)
+CHUNK = 200_000  # characters searched as one array, gaps included (a longer text is one chunk)
+SLICE = 1 << 20  # common q-grams counted at once
+PASSES = 4  # blocks whose filters share a pass over the documents
 GAP = 0xFFFFFFFF  # code between texts: no character, equal to nothing of an item
 
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -83,6 +87,7 @@ class Index:
         self.mask = np.zeros(1 << MASK_BITS, dtype=bool)
         self.mask[(self.grams >> np.uint64(64 - MASK_BITS)).astype(np.int64)] = True
         self.least = int(self.need.min()) if len(items) else 1
+        self.gap = int(self.e.max(initial=0)) + q + 1  # between two texts: no alignment within a budget crosses it
         # Items shorter than q have no q-gram: they are sought as they are.
         self.short = [k for k, m in enumerate(self.m) if 0 < m < q]
 
@@ -92,7 +97,7 @@ class Index:
         The texts are searched as one array, with gaps that no alignment within
         a budget can cross.
         """
-        gap = int(self.e.max(initial=0)) + self.q + 1
+        gap = self.gap
         x = codes(("\0" * gap).join(texts)).copy()
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
         begin = np.concatenate([[0], np.cumsum(lengths[:-1] + gap)]).astype(np.int64)
@@ -125,13 +130,22 @@ class Index:
         if len(at) < self.least:
             return []
         n = self.count[where]
-        entry = np.repeat(self.start[where] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        item = self.item[entry]
-        diagonal = np.repeat(at, n) - self.pos[entry]
-        band = diagonal // self.step[entry]  # bands band-1 and band hold this diagonal
-        low = int(band.min()) - 1
-        width = int(band.max()) - low + 2
-        key, hits = np.unique(item * width + band - low, return_counts=True)
+        longest = int(self.m.max(initial=0))
+        low, width = -longest - 2, len(x) + longest + 4  # of any band number
+        keys, counts = [], []
+        cuts = np.searchsorted(np.cumsum(n), np.arange(SLICE, int(n.sum()) + SLICE, SLICE), side="left") + 1
+        for begin, end in zip(np.concatenate([[0], cuts[:-1]]), cuts):
+            if begin >= end:
+                continue
+            c = n[begin:end]
+            entry = np.repeat(self.start[where[begin:end]] - np.concatenate([[0], np.cumsum(c)[:-1]]), c) + np.arange(c.sum())
+            diagonal = np.repeat(at[begin:end], c) - self.pos[entry]
+            band = diagonal // self.step[entry]  # bands band-1 and band hold this diagonal
+            k, h = np.unique(self.item[entry] * width + band - low, return_counts=True)
+            keys.append(k)
+            counts.append(h)
+        key, place = np.unique(np.concatenate(keys), return_inverse=True)
+        hits = np.bincount(place, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
         # half bands k and k+1 make the overlapping band k
         after = np.zeros_like(hits)
         after[:-1] = np.where(key[1:] == key[:-1] + 1, hits[1:], 0)
@@ -236,13 +250,13 @@ def align(items: list[np.ndarray], budgets: np.ndarray, x: np.ndarray,
     return out
 
 
-def _chunks(pdf: pd.DataFrame) -> Iterator[tuple[list, list[str]]]:
+def _chunks(ids_of, texts_of, gap: int) -> Iterator[tuple[list, list[str]]]:
     ids, texts, size = [], [], 0
-    for doc, text in zip(pdf["doc_id"], pdf["text"]):
+    for doc, text in zip(ids_of, texts_of):
         if text:
             ids.append(doc)
             texts.append(text)
-            size += len(text)
+            size += len(text) + gap
             if size >= CHUNK:
                 yield ids, texts
                 ids, texts, size = [], [], 0
@@ -255,7 +269,7 @@ def _matcher(items: list[tuple[int, str]], q: int, rate: float):
         index = Index(items, q, rate)
         for pdf in batches:
             rows = []
-            for ids, texts in _chunks(pdf):
+            for ids, texts in _chunks(pdf["doc_id"], pdf["text"], index.gap):
                 # neighbouring bands report the same place: the fewest edits win
                 best: dict = {}
                 for t, k, start, end, edits in index.search(texts):
@@ -268,35 +282,71 @@ def _matcher(items: list[tuple[int, str]], q: int, rate: float):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE,
-               block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, start, end, edits): benchmark items found in the texts.
+def _holder(items: list[tuple[int, str]], q: int, rate: float):
+    """A pandas UDF text -> does it hold one of the items?"""
 
-    One row per item and place. Null and empty texts and items match nothing;
-    rows of equal doc_id are searched each. The benchmark is the stated query
-    set: it is read in blocks of bounded size, each a pass over the documents.
-    """
-    small_batches(docs.sparkSession)
-    schema = "doc_id long, item_id long, start long, end long, edits long"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out, block, size = None, [], 0
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = Index(items, q, rate)
+        for texts in batches:
+            out = np.zeros(len(texts), dtype=bool)
+            for places, some in _chunks(range(len(texts)), texts, index.gap):
+                for t, *_ in index.search(some):
+                    out[places[t]] = True
+            yield pd.Series(out)
+
+    return F.pandas_udf(holds, "boolean")
 
-    def one(items):
-        return rows.mapInPandas(_matcher(items, q, rate), schema)
 
-    wanted = benchmark.select("item_id", "text").filter("text is not null and text <> ''")
-    for r in wanted.toLocalIterator():
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+    """The items with a text, in blocks of about ``block_chars`` characters; one block is held at a time."""
+    block, size = [], 0
+    for r in benchmark.select("item_id", "text").filter("text is not null and text <> ''").toLocalIterator():
         if block and size + len(r["text"]) > block_chars:
-            out = one(block) if out is None else out.unionByName(one(block))
+            yield block
             block, size = [], 0
         block.append((r["item_id"], r["text"]))
         size += len(r["text"])
-    if block or out is None:
-        out = one(block) if out is None else out.unionByName(one(block))
-    return out
+    if block:
+        yield block
+
 
+def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE,
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(doc_id, item_id, start, end, edits): benchmark items found in the texts.
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    bad = stage(find_leaks(docs, benchmark, q, rate).select(F.col("doc_id").alias("__bad")).distinct(), "leaks")
-    return docs.join(bad, docs["doc_id"] == F.col("__bad"), "left_anti")
+    One row per item and place. Null and empty texts and items match nothing;
+    rows of equal or null doc_id are searched each. Other columns play no part. The benchmark is the
+    stated query set: it is read in blocks of bounded size, each a pass over the
+    documents whose result is stored before the next block is read (a single block's is not).
+    Without items or documents there are no rows.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    schema = "doc_id long, item_id long, start long, end long, edits long"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    out = last = None
+    for block in item_blocks(benchmark, block_chars):
+        if last is not None:
+            last = stage(last, "leaks")
+            out = last if out is None else out.unionByName(last)
+        last = rows.mapInPandas(_matcher(block, q, rate), schema)
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return last if out is None else out.unionByName(last)
+
+
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE,
+                 block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item; all columns stay.
+
+    Each row is judged by its own text: rows with a null doc_id go like others, and of several rows
+    of one doc_id only those that hold an item. Null and empty texts stay. Each block of
+    items is a filter; after ``PASSES`` of them the rows left are stored.
+    """
+    small_batches(docs.sparkSession)
+    kept = docs
+    for k, block in enumerate(item_blocks(benchmark, block_chars)):
+        if k and k % PASSES == 0:
+            kept = stage(kept, "not-leaking")
+        kept = kept.filter(~_holder(block, q, rate)(F.col("text")))
+    return kept

@@ -159,7 +159,8 @@ def remove_lines(docs: DataFrame, shared: DataFrame, min_key: int = MIN_KEY) ->
 
     Every column stays, ``text`` becomes the kept lines joined by newlines
     (empty when none is left; a null text is one empty line), and n_lines,
-    n_dropped (long) are added. Repeated rows of a doc_id are treated alike.
+    n_dropped (long) are added (and replace columns of those names; other names may be any). Repeated
+    rows of a doc_id are treated alike. A very long text is one row of one task.
     """
     drops = (
         line_keys(docs, min_key).join(shared.hint("merge"), ["h1", "h2"])
@@ -167,18 +168,19 @@ def remove_lines(docs: DataFrame, shared: DataFrame, min_key: int = MIN_KEY) ->
         .groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("__drop"))
         .withColumnsRenamed({"doc_id": "__doc", "text_hash": "__hash"})
     )
-    cols = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
-    # The lines are cut before the join, so that they are a column of it and not cut again per element.
-    cut = without(docs, "n_lines", "n_dropped").withColumns(
-        {"__lines": _lines(F.col("text")), "__text_hash": F.xxhash64("text")})
-    joined = cut.drop("text").join(
-        drops, (F.col("doc_id") == F.col("__doc")) & (F.col("__text_hash") == F.col("__hash")), "left")
+    cols = without(docs, "n_lines", "n_dropped").columns
+    # The lines are cut before the join, so that they are a column of it and not cut again per element; the
+    # other columns travel as one, so that no name of theirs meets one of these.
+    rest = F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in cols if c != "text"])
+    cut = docs.select(rest.alias("__rest"), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text_hash"),
+                      _lines(F.col("text")).alias("__lines"))
+    joined = cut.join(drops, (F.col("__id") == F.col("__doc")) & (F.col("__text_hash") == F.col("__hash")), "left")
     n = F.size("__lines")
     kept = F.array_except(F.sequence(F.lit(0), n - 1), "__drop")
     text = F.array_join(F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(
         F.transform(kept, lambda i: F.get(F.col("__lines"), i))), "\n")
     return joined.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in cols],
+        *[text.alias("text") if c == "text" else F.col("__rest").getField(c).alias(c) for c in cols],
         n.cast("long").alias("n_lines"),
         F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"))
 

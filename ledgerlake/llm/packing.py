@@ -108,13 +108,14 @@ def _pack(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, cluster: str | None = None) -> DataFrame:
     """Pieces (doc_id, piece, first_word, n_tokens, bin_id, offset, source) of all documents.
 
     A document has its words plus one end token as tokens: a null or empty text
     is one piece of one token. ``first_word`` and ``n_tokens`` give a piece's
     span. Pieces of one document share its source, so they never share a bin.
-    The duplicate cluster is the folded text without regard to separators. A
+    The duplicate cluster is the column ``cluster`` (say, component_id of the n-gram join), or else the
+    folded text without regard to separators: exact copies. A null cluster is none. A
     null source conflicts with nothing; null doc_ids and repeated rows are
     packed like any other. No rows, no bins.
     """
@@ -122,7 +123,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PI
     blank = F.regexp_replace(F.trim(F.translate(fold(F.coalesce("text", F.lit(""))), SPACES[1:], " " * 5)), " +", " ")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        total.alias("total"), F.xxhash64(blank).alias("cluster"), F.xxhash64("doc_id", "text").alias("row"))
+        total.alias("total"), (F.xxhash64(blank) if cluster is None else F.when(
+            F.col(cluster).isNotNull(), F.xxhash64(cluster))).alias("cluster"), F.xxhash64("doc_id", "text").alias("row"))
     pieces = stage(rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / capacity))))
                    .withColumn("first_word", F.col("piece") * capacity)
                    .withColumn("n_tokens", F.least(F.lit(capacity).cast("long"), F.col("total") - F.col("first_word")))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPACES, UPPER, small_batches, without
+from ledgerlake.llm.common import SPACES, UPPER, label_sample, sampled_texts, small_batches, without
 
 # Fixed by the contract.
 SYMBOLS = "#*$%&|<>"
@@ -196,20 +196,14 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, max_rules: int = 12, max_te
 def fit_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> list[Rule]:
     """Learn the list from labelled documents (labels: doc_id, quality 0/1).
 
-    Labels without a doc_id or quality are ignored; repeated labels count
-    again. About ``max_labelled`` of them are taken, by a hash of doc_id
-    alone, so the broadcast side and what reaches the driver are bounded.
-    Without labels there are no rules.
+    Labels without a doc_id or quality are ignored; a document labelled both ways is bad, and one with
+    several texts counts with the smallest. About ``max_labelled`` documents are
+    taken, at most twice as many, so the broadcast side and what reaches the driver are
+    bounded. Without labels there are no rules.
     """
-    known = labels.filter("doc_id is not null and quality is not null")
-    n = known.count()
-    if n == 0:
-        return []
-    share = min(1_000_000, max_labelled * 1_000_000 // n)
-    sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).select(
-        F.col("doc_id").alias("__id"), (F.col("quality") == 0).alias("__bad"))
-    joined = with_stats(docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id")))
-    got = joined.select("__bad", *[c.alias(f) for f, c in features().items()]).toPandas()
+    sample = label_sample(labels, F.min("quality"), max_labelled)
+    rows = with_stats(sampled_texts(docs, sample))
+    got = rows.select((F.col("__label") == 0).alias("__bad"), *[c.alias(f) for f, c in features().items()]).toPandas()
     if got.empty:
         return []
     return learn({f: got[f].to_numpy(float) for f in features()}, got["__bad"].to_numpy(bool))

@@ -88,7 +88,8 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20240,
     """``df`` with ``shard`` (0 .. shards-1) and ``slot`` (0, 1, ... in each shard).
 
     Every row gets one place, whatever its values (nulls, empty texts,
-    repeated rows). Shard sizes differ by one at most; which rows meet in a
+    repeated rows, very long texts). Columns shard and slot of the input are replaced, others
+    kept whatever their names. Shard sizes differ by one at most; which rows meet in a
     shard, and their order, is a uniform random permutation given ``seed``.
     Groups of equal rows have no tie to a shard under this law. An empty
     input gives an empty result. The sizes of the input partitions (a few
@@ -96,8 +97,10 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20240,
     """
     spark = df.sparkSession
     small_batches(spark, 4096)
-    plain = without(df, "shard", "slot")
+    names = without(df, "shard", "slot").columns
     # monotonically_increasing_id is partition << 33 + place; stored, it is fixed from here on.
+    # The columns travel as one, so that no name of theirs meets one of these.
+    plain = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__columns"))
     staged = stage(plain.withColumn("__id", F.monotonically_increasing_id()), "shard-rows").withColumns({
         "__part": F.shiftright("__id", 33).cast("int"),
         "__row": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))})
@@ -122,7 +125,7 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = 20240,
     placed = sent.withColumn("__rank", rank).join(
         starts, (F.col("shard") == F.col("__s")) & (F.col("__block") == F.col("__b")))
     return placed.withColumn("slot", (F.col("__start") + F.col("__rank") - 1).cast("long")).select(
-        *[F.col(f"`{c}`") for c in plain.columns], "shard", "slot")
+        *[F.col("__columns").getField(c).alias(c) for c in names], "shard", "slot")
 
 
 def write_shards(df: DataFrame, path: str) -> None:

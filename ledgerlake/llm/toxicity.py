@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import UPPER, small_batches, stage, without
+from ledgerlake.llm.common import UPPER, label_sample, sampled_texts, small_batches, stage, without
 
 # The bound of the labelled sample, in documents (expected size).
 MAX_LABELLED = 12_000
@@ -133,19 +133,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 
     Grades: 0 for clean documents; toxic ones are 1, and 2 where the share of
     associated words is above the median of the toxic ones. Null labels are
-    ignored. About ``max_labelled`` documents are taken by a hash of doc_id;
+    ignored; a document labelled both ways is toxic, and one with several texts counts with the
+    smallest. About ``max_labelled`` documents are taken, at most twice as many;
     their counts of chosen words reach the driver, their texts do not.
     """
     small_batches(docs.sparkSession)
-    known = labels.filter("doc_id is not null and toxic is not null")
-    n = known.count()
-    if n == 0:
-        return None
-    share = min(1_000_000, max_labelled * 1_000_000 // n)
-    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).select(
-        F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    joined = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
-    sample = stage(joined.select("toxic", "text").mapInPandas(
+    picked = label_sample(labels, F.max("toxic"), max_labelled)
+    joined = sampled_texts(docs, picked).select(F.col("__label").cast("int").alias("toxic"), "text")
+    sample = stage(joined.mapInPandas(
         _sample_features, "toxic int, ids array<long>, counts array<int>"), "toxicity-sample")
     size = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("n1")).first()
     n1, n0 = size["n1"], size["n"] - size["n1"]
