@@ -95,7 +95,7 @@ class Index:
         """(text, item, start, end, edits) of the matches, by place in the lists.
 
         The texts are searched as one array, with gaps that no alignment within
-        a budget can cross.
+        a budget can cross. Neighbouring bands report the same place: the fewest edits win.
         """
         gap = self.gap
         x = codes(("\0" * gap).join(texts)).copy()
@@ -111,11 +111,12 @@ class Index:
             step = int(self.e[k]) + 1
             bands.append((k, b * step, (b + 2) * step - 1))
         found += align(self.codes, self.e, x, bands)
-        out = []
+        best: dict[tuple[int, int, int], tuple[int, int]] = {}
         for k, start, end, edits in found:
             t = int(np.searchsorted(begin, start, side="right")) - 1
-            out.append((t, k, start - int(begin[t]), min(end - int(begin[t]), int(lengths[t])), edits))
-        return out
+            place, match = (t, k, start - int(begin[t])), (edits, min(end - int(begin[t]), int(lengths[t])))
+            best[place] = min(match, best.get(place, match))
+        return [(t, k, start, end, edits) for (t, k, start), (edits, end) in best.items()]
 
     def _bands(self, x: np.ndarray) -> list[tuple[int, int]]:
         """(item, band) with as many common q-grams as the lemma asks for."""
@@ -270,13 +271,7 @@ def _matcher(items: list[tuple[int, str]], q: int, rate: float):
         for pdf in batches:
             rows = []
             for ids, texts in _chunks(pdf["doc_id"], pdf["text"], index.gap):
-                # neighbouring bands report the same place: the fewest edits win
-                best: dict = {}
-                for t, k, start, end, edits in index.search(texts):
-                    place = (t, k, start)
-                    if place not in best or (edits, end) < best[place]:
-                        best[place] = (edits, end)
-                rows += [(ids[t], index.ids[k], s, end, edits) for (t, k, s), (edits, end) in best.items()]
+                rows += [(ids[t], index.ids[k], start, end, edits) for t, k, start, end, edits in index.search(texts)]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "start", "end", "edits"])
 
     return run
