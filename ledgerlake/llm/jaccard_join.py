@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Stages, small_batches, words
+from ledgerlake.llm.common import SPACES, UPPER, Stages, small_batches
 from ledgerlake.llm.components import components
 from ledgerlake.llm.url_filter import keep_listed
 
@@ -41,34 +41,70 @@ _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 _S = np.uint64(31)
 
 
-class _WordHash(dict):
-    """word -> 64-bit hash, cached up to a fixed size."""
+BLOCK = 1 << 18  # bytes of a text hashed at once
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[list(SPACES.encode())] = True
+_BASE = 0x9E6C63D0876A9A35  # odd, so it has an inverse modulo 2^64
+_BYTE = np.random.default_rng(7).integers(0, 2**64, size=256, dtype=np.uint64)
+_BYTE[list(UPPER.encode())] = _BYTE[list(UPPER.lower().encode())]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
 
+_UP, _DOWN = _powers(_BASE, BLOCK), _powers(pow(_BASE, -1, 1 << 64), BLOCK)
 
-_HASH = _WordHash()
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text, A-Z folded, in order.
+
+    A word's hash is the sum of a random number per byte times powers of an odd base, from
+    prefix sums over a block of bytes: no word is cut out. Blocks end at a space (a longer word is a block).
+    """
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass") if text else b"", dtype=np.uint8)
+    flags = np.ones(len(raw) + 2, dtype=bool)
+    flags[1:-1] = _SPACE[raw]
+    edge = np.flatnonzero(flags[1:] != flags[:-1])
+    starts, ends = edge[::2], edge[1::2]
+    out = np.empty(len(starts), dtype=np.uint64)
+    at = 0
+    while at < len(starts):
+        here = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, here + BLOCK, side="right")))
+        size = int(ends[to - 1] - here)
+        up = _UP[:size] if size <= BLOCK else _powers(_BASE, size)
+        sums = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[raw[here : here + size]] * up, out=sums[1:])
+        first = starts[at:to] - here  # below BLOCK: a longer word is alone in its block
+        out[at:to] = (sums[ends[at:to] - here] - sums[first]) * _DOWN[first]
+        at = to
+    out ^= out >> _S
+    out *= _P1
+    return out
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the k-word shingles; one for a shorter text, none without words."""
-    parts = words(text)
-    n = len(parts)
+    h = word_hashes(text)
+    n = len(h)
     if n == 0:
-        return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(_HASH.__getitem__, parts), dtype=np.uint64, count=n)
+        return h
     width = min(k, n)
     acc = np.full(n - width + 1, width, dtype=np.uint64)
     for j in range(width):
-        acc = (acc ^ h[j : n - width + 1 + j]) * _P1
+        acc ^= h[j : n - width + 1 + j]
+        acc *= _P1
         acc ^= acc >> _S
         acc *= _P2
         acc ^= acc >> _S
-    return np.unique(acc)
+    acc.sort()
+    new = np.ones(len(acc), dtype=bool)
+    np.not_equal(acc[1:], acc[:-1], out=new[1:])
+    return acc[new]
 
 
 def min_overlap(n: int, num: int, den: int) -> int:

@@ -248,3 +248,26 @@ def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
             assert got == []
         else:  # both leaking rows are gone, whatever their ids; rows of one doc_id are judged each
             assert sorted([r.doc_id for r in got], key=repr) == [5, 5, None]
+
+
+def test_word_hashes_follow_the_words_across_blocks():
+    block = jaccard_join.BLOCK
+    texts = [None, "", " \n", "A", "a a A", "x" * block, "y" * (block + 5) + " b " + "c " * block + "z" * (2 * block),
+             "é Ü\x0bq\x0c Q q \x1cq", " ".join(["ab", "AB", "c", "Ünï", "\U0001f600"] * 60_000)]
+    seen = {}
+    for text in texts:
+        parts, hashes = common.words(text), jaccard_join.word_hashes(text).tolist()
+        assert len(parts) == len(hashes)
+        for word, h in zip(parts, hashes):
+            assert seen.setdefault(word, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_shingles_are_the_distinct_windows():
+    rng = np.random.default_rng(4)
+    for n in [0, 1, 2, 3, 4, 50, 400]:
+        parts = [str(w) for w in rng.integers(0, 5, size=n)]
+        windows = {tuple(parts[i : i + 3]) for i in range(n - 2)} or ({tuple(parts)} if parts else set())
+        got = jaccard_join.shingles(" ".join(parts), 3)
+        assert len(got) == len(windows) and (np.diff(got.astype(object)) > 0).all()
+        assert (got == jaccard_join.shingles("\t" + "  ".join(parts) + "\n", 3)).all()
