@@ -526,6 +526,42 @@ def test_lm_probabilities_sum_to_one():
     assert abs(np.exp(attention_lm.score_windows(model, win)).sum() - 1) < 1e-3
 
 
+def naive_score(model, ids):
+    """Subword after subword, one query at a time, in plain sums."""
+    w = {k: v.astype(float) for k, v in model.weights.items()}
+    padded = [attention_lm.END] * attention_lm.CONTEXT + list(ids)
+    total = 0.0
+    for i, target in enumerate(ids):
+        block = i // attention_lm.STEP * attention_lm.STEP
+        seen = [model.entry[t] for t in padded[block : i + attention_lm.CONTEXT]]
+        x = [w["E"][e] + w["P"][place] for place, e in enumerate(seen)]
+        query = x[-1] @ w["Q"]
+        weight = [math.exp(float(query @ (y @ w["K"])) / math.sqrt(attention_lm.DIM)) for y in x]
+        mixed = sum(a * (y @ w["V"]) for a, y in zip(weight, x)) / sum(weight)
+        hidden = x[-1] + mixed @ w["O"]
+        logit = [float(hidden @ w["U"][:, c]) + w["b"][c] + model.prior[seen[-1], c] for c in range(attention_lm.CLASSES)]
+        to = model.entry[target]
+        total += (logit[model.cls[to]] - math.log(math.fsum(map(math.exp, logit)))
+                  + model.inner[seen[-1], to] + model.share[target])
+    return total
+
+
+def test_lm_score_equals_one_query_at_a_time():
+    rng = np.random.default_rng(8)
+    counts = rng.integers(0, 50, attention_lm.END + 1).astype(float)
+    entry, share = attention_lm.entries_of(counts)
+    big = rng.random((attention_lm.ENTRIES, attention_lm.ENTRIES)) * 9
+    cls = attention_lm.cluster(big)
+    weights = {k: (v + rng.normal(0, 0.2, v.shape)).astype(np.float32) for k, v in attention_lm.new_weights().items()}
+    model = attention_lm.Model(entry, share, cls, *attention_lm.bigrams(big, cls), weights)
+    frequent = np.argsort(-counts)[:300]
+    for n in (0, 1, 15, 16, 17, 70):
+        ids = np.append(np.where(rng.random(n) < 0.7, rng.choice(frequent, n), rng.integers(0, attention_lm.END, n)),
+                        attention_lm.END)
+        got = attention_lm.score_windows(model, attention_lm.windows(ids)).sum()
+        assert got == pytest.approx(naive_score(model, ids), rel=1e-4)
+
+
 # ------------------------------------------------------------------- contracts
 
 def test_hash_is_lowercase_sha256(spark):
