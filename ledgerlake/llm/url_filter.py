@@ -25,7 +25,7 @@ RULES = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
-# The listed URLs of the registered query: pages on a host with one of these labels that are linked to with a tracking parameter.
+# The listed URLs of the registered query: all pages on a host with one of these labels.
 LISTED_LABELS = ["ads-track", "casino-win", "spam-farm", "adult-x", "cheap-pills", "free-bets"]
 # Query parameters that do not change the page.
 TRACKING = "utm_[a-z]+|ref|gclid|fbclid"
@@ -132,15 +132,16 @@ def keep_listed(df: DataFrame, key: str, listed: DataFrame, probes: int = PROBES
     return passed.join(listed.select(key).hint("merge"), key).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def listed_urls(pages: DataFrame, labels: list[str] = LISTED_LABELS) -> DataFrame:
-    """Canonical URLs of the pages on a host with one of the listed labels whose URL carries a tracking parameter.
+def listed_urls(pages: DataFrame, labels: list[str] = LISTED_LABELS, tracked_only: bool = True) -> DataFrame:
+    """Canonical URLs of the pages on a host with one of the listed labels.
 
-    Neither the host nor a page's own URL tells whether it is listed: other URLs of a listed page are, other
-    pages of its host need not be.
+    With ``tracked_only``, those whose URL carries a tracking parameter: then neither the host nor a page's own
+    URL tells whether it is listed (other URLs of a listed page are, other pages of its host need not be).
     """
-    on_host = F.arrays_overlap(F.split(host_of(F.col("url")), r"\."), F.array(*map(F.lit, labels)))
-    tracked = F.col("url").rlike(f"[?&]({TRACKING})=")
-    return pages.filter(on_host & tracked).select(canonical(F.col("url")).alias("canonical_url"))
+    listed = F.arrays_overlap(F.split(host_of(F.col("url")), r"\."), F.array(*map(F.lit, labels)))
+    if tracked_only:
+        listed = listed & F.col("url").rlike(f"[?&]({TRACKING})=")
+    return pages.filter(listed).select(canonical(F.col("url")).alias("canonical_url"))
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, max_blocks: int = MAX_BLOCKS) -> DataFrame:

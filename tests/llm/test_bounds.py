@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlake.llm import common, decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, toxicity, url_filter
+from ledgerlake.llm import common, decontaminate, jaccard_join, line_dedup, packing, quality_rules, registry, sharding, toxicity, url_filter
 from tests.llm.test_operators import DOCS, brute_lines, cut, fold, line_rows, prose
 
 
@@ -227,6 +227,21 @@ def test_listed_urls_are_not_told_by_the_host(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
 
 
+def test_the_registered_url_list_is_whole(spark, tmp_path):
+    """Every page on a listed label is listed by the query and by its SQL, not only those with a tracking parameter."""
+    import duckdb
+
+    label = url_filter.LISTED_LABELS[0]
+    rows = [(1, f"http://{label}.example.net/en/5?utm_source=feed"), (2, f"http://{label}.example.net/en/6"),
+            (3, "http://other.example.net/en/5?ref=x"), (4, f"http://{label}.example.org/x"), (5, None)]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(map(tuple, registry.op8_url_filter(spark, str(tmp_path)).collect()))
+    assert [r[4] for r in got] == ["block", "block", "allow", "allow", "allow"]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(con.execute(registry.ORACLE_SQL["op8_url_filter"]).fetchall()) == got
+
+
 # -------------------------------------------------------------------- pipeline
 
 def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
