@@ -359,3 +359,21 @@ def test_text_format_must_be_known(spark):
 
 def test_paths_are_looked_up_not_read(spark):
     assert not path_exists(spark, f"{scratch_root(spark, 'test-none')}/x")
+
+
+def test_independent_jobs_run_together_and_the_first_failure_is_raised():
+    import threading
+
+    from ledgerlake.session import side_by_side
+
+    meet = threading.Barrier(2, timeout=30)
+    assert side_by_side({"a": lambda: meet.wait() * 0 + 1, "b": lambda: meet.wait() * 0 + 2}) == {"a": 1, "b": 2}
+    assert side_by_side({}) == {}
+    ended = []
+
+    def fails():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        side_by_side({"a": fails, "b": lambda: ended.append(1)})
+    assert ended == [1]

@@ -109,3 +109,53 @@ def test_bronze_sources_read_whole_tables(spark):
     b = bronze_sources(spark, SF_SMOKE)
     customers = spark.read.parquet(f"{SF_SMOKE}/customer.parquet").count()
     assert b["users"].where("_seq = 0").count() == customers
+
+
+def test_the_silver_job_deduplicates_each_table_once(spark, monkeypatch):
+    """Silver rows and reject counts of a day come from one pass over Bronze, and equal the separate plans."""
+    from ledgerlake.plans import medallion
+    from ledgerlake.session import scratch_root
+    from ledgerlake.sources.layers import read_layer, write_layer
+
+    bronze = {
+        "users": spark.createDataFrame([
+            ("u1", "A", " A@X ", "t", 0), ("u1", None, "late", "t", 1), ("u2", None, "b@x", "t", 0),
+            (None, "N", "n@x", "t", 0), ("u3", "C", "c@x", "t", 0)], schemas.BRONZE["users"]),
+        "transactions": spark.createDataFrame([
+            ("t1", "u1", 5.0, "\tSuccess ", "2024-01-02T00:00:00", 0), ("t1", "u1", 9.0, "failed", "2024-01-02T00:00:00", 1),
+            ("t2", "u2", 5.0, "failed", "not a time", 0), ("t3", "u1", -1.0, "failed", "not a time", 0),
+            ("t4", None, 5.0, "failed", "not a time", 0), (None, "u3", 5.0, "FAILED", "2024-01-03T00:00:00", 0),
+            ("t5", "u3", float("nan"), "failed", None, 0), ("t6", "u3", 1.0, None, None, 0)], schemas.BRONZE["transactions"]),
+        "transaction_details": spark.createDataFrame([
+            ("d1", "t1", "CARD", " web ", 10, 0), ("d1", "t1", "pse", "web", 10, 1), ("d2", "t1", None, "web", 10, 0),
+            ("d3", "t2", "card", "web", 10, 0), ("d4", "t1", "card", "pos", -1, 0), ("d5", "t1", "card", "web", 0, 0),
+            ("d6", None, "card", "web", 5, 0), (None, "t1", "pse", "api\x85", 5, 0)], schemas.BRONZE["transaction_details"]),
+    }
+    root = scratch_root(spark, "test-once")
+    for entity, df in bronze.items():
+        write_layer(df, root, "bronze", entity, "2024-01-31")
+    calls, real = [], silver.dedupe
+    monkeypatch.setattr(silver, "dedupe", lambda entity, *args, **kw: calls.append(entity) or real(entity, *args, **kw))
+    for policy in ("drop", "unknown"):
+        calls.clear()
+        result = medallion.run_silver(spark, root, "2024-01-31", STAMP, policy)
+        assert sorted(calls) == sorted(bronze)
+        want = silver.build_silver(bronze, STAMP, policy)
+        for entity in bronze:
+            got = read_layer(spark, root, "silver", entity, "2024-01-31", schemas.SILVER[entity])
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want[entity].collect())), entity
+            assert result["counts"][entity] == want[entity].count()
+        counted = {(r.entity, r.rule): r.rejected for r in silver.silver_rejects(
+            bronze, want["users"], want["transactions"], policy).collect()}
+        assert {(e, rule): n for e, rules in result["rejects"].items() for rule, n in rules.items()} == counted
+    with pytest.raises(ValueError):
+        silver.classify("users", bronze["users"], null_policy="keep")
+
+
+def test_strip_equals_python_strip(spark):
+    from ledgerlake.functions.text import strip_all
+
+    ends = ["", " ", "\t\n", "\x1c\x1f", "\x85", " ", "  ", " 　", "​", "\x00"]
+    texts = [a + body + b for a in ends for b in ends for body in ("", "x", "a b", "é", "x y")]
+    got = spark.createDataFrame([(t,) for t in texts], "s string").select("s", strip_all("s").alias("t")).collect()
+    assert [r.t for r in got] == [r.s.strip() for r in got]
