@@ -108,3 +108,27 @@ def test_chained_user_metrics_fold_per_user_before_the_shuffle(spark, bronze_smo
     assert not any("LeftSemi" in line for line in lines)
     for i in exchanges(lines, "user_id"):
         assert "partial_" in child(lines, i)
+
+
+def test_places_are_joined_without_moving_the_rows(spark, no_broadcast, tmp_path):
+    """The starts of the files are broadcast whatever the thresholds: rows are not shuffled by their file."""
+    from ledgerlake.operators.position import file_position
+
+    spark.range(100).repartition(3).write.parquet(f"{tmp_path}/rows")
+    lines = final_plan(file_position(spark.read.parquet(f"{tmp_path}/rows")))
+    assert any("BroadcastHashJoin" in line for line in lines)
+    assert not any("SortMergeJoin" in line for line in lines)
+
+
+def test_the_rewritten_day_is_read_from_the_store(spark, monkeypatch):
+    """layer_roundtrip cleans Bronze for its two first writes only."""
+    written, real = [], registry.write_layer
+
+    def write(df, root, *args, **kw):
+        written.append(any("/silver/" in path for path in df.inputFiles()))
+        return real(df, root, *args, **kw)
+
+    monkeypatch.setattr(registry, "write_layer", write)
+    rows = registry.QUERIES["layer_roundtrip_details"](spark, SF_SMOKE)
+    assert written == [False, False, True]
+    assert {r["_silver_processed_at"] for r in rows.select("_silver_processed_at").distinct().collect()} == {registry.PROCESSED_AT}
