@@ -453,6 +453,61 @@ def test_lm_gradient_is_the_derivative():
         assert abs((up - down) / (2 * step) - g[k][at]) < 1e-5, k
 
 
+def test_lm_training_forms_no_keys_or_values():
+    """The training step is most of op2's time: K and V only meet Q, O and their gradients, never the 31 places."""
+    rng = np.random.default_rng(1)
+    shapes = []
+
+    class Watched(np.ndarray):
+        __array_priority__ = 1  # kept when put together
+
+        def __array_ufunc__(self, ufunc, method, *inputs, **kw):
+            plain = [np.asarray(i) for i in inputs]
+            if ufunc is np.matmul:
+                shapes.extend(i.shape for i in plain)
+            return getattr(ufunc, method)(*plain, **kw)
+
+    w = {k: v.astype(np.float64) for k, v in attention_lm.new_weights().items()}
+    seen = rng.integers(0, attention_lm.ENTRIES, (5, attention_lm._SPAN))
+    target = rng.integers(0, attention_lm.CLASSES, (5, attention_lm.STEP))
+    prev = rng.normal(0, 1, (5, attention_lm.STEP, attention_lm.CLASSES))
+    watched = w | {k: w[k].view(Watched) for k in ("K", "V")}
+    attention_lm.gradients(watched, seen, prev, target, target >= 0)
+    assert shapes and max(map(max, shapes)) == attention_lm.DIM
+
+
+@pytest.mark.parametrize("name, by", [("U", 400), ("E", 30), ("b", 1)])
+def test_lm_gradient_of_large_logits(name, by):
+    """Logits too large for a plain exponential: attention ("E") and classes ("U") are shifted first."""
+    rng = np.random.default_rng(2)
+    w = {k: v.astype(np.float32) + rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in attention_lm.new_weights().items()}
+    w[name] = w[name] * np.float32(by)
+    seen = rng.integers(0, attention_lm.ENTRIES, (3, attention_lm._SPAN))
+    target = rng.integers(0, attention_lm.CLASSES, (3, attention_lm.STEP))
+    prev = rng.normal(0, 1, (3, attention_lm.STEP, attention_lm.CLASSES)).astype(np.float32)
+    valid = rng.random((3, attention_lm.STEP)) < 0.8
+    x = w["E"][seen].astype(float) + w["P"]
+    here = x[:, attention_lm.CONTEXT - 1 :]
+    logit = np.einsum("wid,wjd->wij", here @ w["Q"], x @ w["K"]) / math.sqrt(attention_lm.DIM)
+    later = np.arange(attention_lm._SPAN) > np.arange(attention_lm.STEP)[:, None] + attention_lm.CONTEXT - 1
+    logit[:, later] = -np.inf
+    a = np.exp(logit - logit.max(axis=2, keepdims=True))
+    a /= a.sum(axis=2, keepdims=True)
+    h = here + a @ (x @ w["V"]) @ w["O"]
+    z = h @ w["U"] + w["b"] + prev
+    assert name == "b" or max(np.abs(z).max(), np.abs(logit[:, ~later]).max()) > 100
+    p = np.exp(z - z.max(axis=2, keepdims=True))
+    p /= p.sum(axis=2, keepdims=True)
+    p[np.arange(3)[:, None], np.arange(attention_lm.STEP), target] -= 1
+    p *= valid[:, :, None] / valid.sum()
+    loss, g = attention_lm.gradients(w, seen, prev, target, valid)
+    want = np.einsum("wid,wic->dc", h, p)
+    assert all(np.isfinite(v).all() for v in g.values())
+    assert math.isfinite(loss)
+    assert np.abs(g["U"] - want).max() < 1e-4 * np.abs(want).max()
+    assert np.abs(g["b"] - p.sum(axis=(0, 1))).max() < 1e-5
+
+
 def test_lm_windows_score_each_token_once():
     for n in (1, 15, 16, 17, 64, 65):
         win = attention_lm.windows(np.arange(n))
