@@ -551,6 +551,33 @@ def test_lm_trains_on_every_subword_of_every_document():
         assert np.array_equal(np.concatenate([attention_lm.run_windows(x) for x in got]), want)
 
 
+def test_lm_words_are_encoded_together(monkeypatch):
+    """A call of the tokenizer for each distinct word was most of op2's time outside training; words with other white
+    space, or not in UTF-8, still are encoded by themselves."""
+    sub = attention_lm.Subwords(attention_lm.TOKENIZER)
+    encode, calls = sub._encode, []
+    monkeypatch.setattr(sub, "_encode", lambda text: calls.append(text) or encode(text))
+    rng = random.Random(3)
+    odd = ["a\u00a0b", "\u2003", "\x1cx", "\x85", "\ud800z", "it's", "'s", "1\u00bd", "\u65e5\u672c", "e\u0301", "x" * 300]
+    plain = [word(rng) for _ in range(500)]
+    for text in (" ".join(plain), " ".join(rng.choices(odd, k=40)), " ".join(rng.choices(odd + plain, k=400)), "", "\u00a0", None):
+        parts = attention_lm.words(text)
+        each = [encode(" " + w.decode("utf-8", "replace")) for w in parts]
+        calls.clear()
+        assert sub.text(parts).tolist() == [i for ids in each for i in ids] + [attention_lm.END]
+        if text == " ".join(plain):
+            assert len(calls) == 1
+        ids = sub.ids(parts)
+        assert np.bincount(sub.first[ids].cumsum() - 1, minlength=len(parts)).tolist() == [len(e) for e in each]
+    frame = pd.DataFrame({"word": attention_lm.words(" ".join(odd + plain)), "n": range(1, len(odd + plain) + 1)})
+    want = Counter()
+    for w, n in zip(frame["word"], frame["n"]):
+        for i in encode(" " + w.decode("utf-8", "replace")):
+            want[i] += n
+    got = pd.concat(attention_lm._count_subwords(attention_lm.TOKENIZER)(iter([frame[:300], frame[300:]])))
+    assert dict(zip(got["id"], got["n"])) == want
+
+
 def test_lm_bigrams_across_words_are_counted():
     sub = attention_lm.subwords(attention_lm.TOKENIZER)
     texts = ["red car. blue sky. " * 500, "red car", "", None, "blue"]
